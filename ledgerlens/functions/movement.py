@@ -1,4 +1,8 @@
-"""Predicates and derived columns of one movement."""
+"""Predicates and derived columns of one movement.
+
+``kind`` and ``text`` are movement type and description; ``kind_norm`` and
+``text_norm`` are their folded forms, folded once by the caller.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.rules import MODO, OTHER, RETAIL, WEEKDAYS, Rules
-from ledgerlens.functions.text import fold_text, strip_text
+from ledgerlens.functions.text import strip_text
 
 # Java regex flags: ignore case, in all of Unicode, with Unicode classes.
 _ANY_CASE = "(?iuU)"
@@ -22,46 +26,44 @@ def _mentions(text: Column, words) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words])
 
 
-def is_bet(movement_type: Column, rules: Rules) -> Column:
-    return _found(movement_type, _ANY_CASE + rules.bet_pattern)
+def is_bet(kind: Column, rules: Rules) -> Column:
+    return _found(kind, _ANY_CASE + rules.bet_pattern)
 
 
-def is_load(movement_type: Column, rules: Rules) -> Column:
+def is_load(kind: Column, kind_norm: Column, rules: Rules) -> Column:
     if rules.strict_loads:
-        return _found(fold_text(movement_type), "(?U)" + rules.load_pattern_strict)
-    return _found(movement_type, _ANY_CASE + rules.load_pattern_broad)
+        return _found(kind_norm, "(?U)" + rules.load_pattern_strict)
+    return _found(kind, _ANY_CASE + rules.load_pattern_broad)
 
 
-def is_withdrawal(movement_type: Column, rules: Rules) -> Column:
-    return _found(movement_type, _ANY_CASE + rules.withdrawal_pattern)
+def is_withdrawal(kind: Column, rules: Rules) -> Column:
+    return _found(kind, _ANY_CASE + rules.withdrawal_pattern)
 
 
-def is_prize(movement_type: Column, rules: Rules) -> Column:
-    return _found(movement_type, _ANY_CASE + rules.prize_pattern)
+def is_prize(kind: Column, rules: Rules) -> Column:
+    return _found(kind, _ANY_CASE + rules.prize_pattern)
 
 
-def is_bonus(movement_type: Column, rules: Rules) -> Column:
-    return _found(fold_text(movement_type), rules.bonus_pattern)
+def is_bonus(kind_norm: Column, rules: Rules) -> Column:
+    return _found(kind_norm, rules.bonus_pattern)
 
 
-def is_signup_bonus(movement_type: Column, description: Column, rules: Rules) -> Column:
-    text = F.concat_ws(" ", fold_text(movement_type), fold_text(description))
-    return _found(text, rules.signup_bonus_pattern)
+def is_signup_bonus(kind_norm: Column, text_norm: Column, rules: Rules) -> Column:
+    return _found(kind_norm, rules.signup_bonus_pattern) | _found(text_norm, rules.signup_bonus_pattern)
 
 
-def game_name(description: Column, rules: Rules) -> Column:
-    return strip_text(F.regexp_replace(description, _ANY_CASE + rules.game_prefix_pattern, ""))
+def game_name(text: Column, rules: Rules) -> Column:
+    return strip_text(F.regexp_replace(text, _ANY_CASE + rules.game_prefix_pattern, ""))
 
 
 def matches_game(game_norm: Column, pattern: str) -> Column:
     return _found(game_norm, "(?U)" + pattern)
 
 
-def channel(description: Column, movement_type: Column, rules: Rules) -> Column:
-    text = fold_text(description)
+def channel(text_norm: Column, kind_norm: Column, rules: Rules) -> Column:
+    text, kind = text_norm, kind_norm
     if rules.channel_rule == "binary":
         return F.when(_mentions(text, rules.modo_keywords), MODO).otherwise(RETAIL)
-    kind = fold_text(movement_type)
     return (
         F.when(_mentions(text, rules.modo_keywords) | _mentions(kind, rules.modo_keywords), MODO)
         .when(_mentions(text, rules.card_keywords) | _mentions(kind, rules.card_keywords), RETAIL)

@@ -15,12 +15,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.buckets import hour_bucket
+from ledgerlens.operators.buckets import time_bucket
 from ledgerlens.operators.common import with_keys
 
 SIGNUP, DEPOSIT = "Registro", "Depósito"
 
+# Role of a row, and its place within its hour.
 _BET, _BONUS = 0, 1
+_OPENING, _DETAIL, _CLOSING = 0, 1, 2
 
 
 def bonus_detail(facts: DataFrame, users: DataFrame | None = None, bonuses_per_task: int = 1_000_000) -> DataFrame:
@@ -32,18 +34,18 @@ def bonus_detail(facts: DataFrame, users: DataFrame | None = None, bonuses_per_t
     those of their own hour. The search by stake first finds the hour from the
     hourly totals, with a user's bonuses dealt over several groups when there are
     many, then the bet inside that hour. All windows run forward once, so the work is
-    linear, and no pair of rows is ever built.
+    linear and no pair of rows is ever built; the detail is read once and moves
+    through three windows.
 
     Needs the classified ledger.
     """
     rows = (
         with_keys(facts.where("is_bet or is_bonus or is_load"), "doc_id", "ts")
-        .withColumn("bucket", hour_bucket(F.col("ts")))
+        .withColumn("bucket", time_bucket(F.col("ts")))
         .withColumn("stake", F.coalesce(F.greatest("amount", F.lit(0).cast("decimal(18,2)")), F.lit(0)))
     )
-    hours = _hours(rows, bonuses_per_task)
-    timed = _with_next_bet(rows, hours)
-    detail = _with_exhaustion(timed, hours)
+    timed = _with_next_bet(rows, _hours(rows, bonuses_per_task))
+    detail = _with_spent_time(_with_goal_hour(timed))
     if users is not None:
         people = users.select(F.col("user_id").alias("doc_id"), F.col("email").alias("Email"))
         detail = detail.join(people, "doc_id", "left")
@@ -64,8 +66,8 @@ def bonus_detail(facts: DataFrame, users: DataFrame | None = None, bonuses_per_t
 
 
 def _hours(rows: DataFrame, bonuses_per_task: int) -> DataFrame:
-    """One row per user and hour: stake before and up to it, next bet after it, and
-    the user's last load and number of groups for the search by stake."""
+    """One row per user and hour: stake before it, next bet after it, the user's last
+    load and the number of groups for the search by stake."""
     per_hour = rows.groupBy("doc_id", "bucket").agg(
         F.coalesce(F.sum(F.when(F.col("is_bet"), F.col("stake"))), F.lit(0)).alias("staked"),
         F.min(F.when(F.col("is_bet"), F.col("ts"))).alias("hour_bet"),
@@ -73,22 +75,21 @@ def _hours(rows: DataFrame, bonuses_per_task: int) -> DataFrame:
         F.count_if("is_bonus").alias("hour_bonuses"),
     )
     user = Window.partitionBy("doc_id")
-    forward = user.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    backward = user.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = user.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    later = user.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
     return per_hour.select(
         "doc_id",
         "bucket",
-        "staked",
-        "hour_bonuses",
-        F.sum("staked").over(forward).cast("decimal(38,2)").alias("staked_to"),
-        F.min("hour_bet").over(backward).alias("next_bet"),
+        F.coalesce(F.sum("staked").over(earlier), F.lit(0)).alias("staked_before"),
+        F.min("hour_bet").over(later).alias("next_bet"),
         F.max("hour_load").over(user).alias("last_load"),
-        F.ceil(F.sum("hour_bonuses").over(user) / F.lit(bonuses_per_task)).cast("int").alias("groups"),
+        F.ceil(F.sum("hour_bonuses").over(user) / F.lit(bonuses_per_task)).alias("groups"),
     )
 
 
 def _with_next_bet(rows: DataFrame, hours: DataFrame) -> DataFrame:
-    """Bets and bonuses with the user's cumulative stake and the next later bet.
+    """Bets and bonuses of users with a bonus, with the user's cumulative stake and
+    the next later bet, and one closing row per hour with the stake up to its end.
 
     Inside an hour, rows run in time order with bets before bonuses of the same
     time. Two rows framing the hour carry what lies outside: ahead of it the stake
@@ -101,7 +102,7 @@ def _with_next_bet(rows: DataFrame, hours: DataFrame) -> DataFrame:
     detail = rows.where("is_bet or is_bonus").withColumn("role", F.explode(roles)).select(
         "doc_id",
         "bucket",
-        F.lit(1).alias("place"),
+        F.lit(_DETAIL).alias("place"),
         "ts",
         "role",
         "tx_id",
@@ -112,20 +113,20 @@ def _with_next_bet(rows: DataFrame, hours: DataFrame) -> DataFrame:
             F.col("role") == _BONUS, F.when(F.col("is_signup_bonus"), SIGNUP).otherwise(DEPOSIT)
         ).alias("bonus_type"),
         none.cast("timestamp_ntz").alias("last_load"),
-        none.cast("int").alias("groups"),
+        none.cast("bigint").alias("groups"),
     )
     frame = hours.select(
         "doc_id",
         "bucket",
-        F.explode(F.array(F.lit(0), F.lit(2))).alias("place"),
+        F.explode(F.array(F.lit(_OPENING), F.lit(_CLOSING))).alias("place"),
         none.cast("timestamp_ntz").alias("ts"),
         none.cast("int").alias("role"),
         none.cast("bigint").alias("tx_id"),
-        F.when(F.col("place") == 0, F.col("staked_to") - F.col("staked"))
+        F.when(F.col("place") == _OPENING, F.col("staked_before"))
         .otherwise(0)
         .cast("decimal(38,2)")
         .alias("stake"),
-        F.when(F.col("place") == 2, F.col("next_bet")).alias("bet_ts"),
+        F.when(F.col("place") == _CLOSING, F.col("next_bet")).alias("bet_ts"),
         none.cast("decimal(18,2)").alias("bonus_amount"),
         none.cast("string").alias("bonus_type"),
         "last_load",
@@ -134,7 +135,7 @@ def _with_next_bet(rows: DataFrame, hours: DataFrame) -> DataFrame:
     over = "OVER (PARTITION BY doc_id, bucket ORDER BY place, ts, role, tx_id"
     running = f"{over} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     return (
-        detail.unionByName(frame)
+        detail.unionByName(frame.where("groups > 0"))
         .withColumns(
             {
                 "staked": F.expr(f"sum(stake) {running}").cast("decimal(38,2)"),
@@ -143,54 +144,66 @@ def _with_next_bet(rows: DataFrame, hours: DataFrame) -> DataFrame:
                 "groups": F.expr(f"first(groups) {running}"),
             }
         )
-        .where("place = 1")
-        .drop("place", "stake", "bet_ts")
+        .where(F.col("groups").isNotNull() & (F.col("place") != _OPENING))
+        .drop("stake", "bet_ts")
     )
 
 
-def _with_exhaustion(timed: DataFrame, hours: DataFrame) -> DataFrame:
-    """Bonuses with the time at which the stakes placed since reach their amount."""
-    goal = (F.col("staked") + F.col("bonus_amount")).cast("decimal(38,2)")
-    bonuses = (
-        timed.where(F.col("role") == _BONUS)
-        .withColumn("goal", goal)
-        .withColumn("grp", F.pmod(F.xxhash64("tx_id"), F.col("groups").cast("bigint")))
+def _with_goal_hour(timed: DataFrame) -> DataFrame:
+    """Bets, and bonuses with the hour in which the user's stakes reach their goal.
+
+    The goal is the stake at the bonus plus its amount. The first closing row at or
+    above it names the hour; each of a user's groups has its own copy of them. Bets
+    stay in groups of their own, one per hour.
+    """
+    is_bonus, is_closing = F.col("role") == _BONUS, F.col("place") == _CLOSING
+    own = -1 - F.col("bucket")
+    groups = (
+        F.when(is_closing, F.sequence(F.lit(0).cast("bigint"), F.col("groups") - 1))
+        .when(is_bonus, F.array(F.pmod(F.xxhash64("tx_id"), "groups")))
+        .otherwise(F.array(own))
     )
-    # Which hour: the first one whose stake total reaches the goal.
-    totals = hours.where("staked > 0 and groups > 0").select(
-        "doc_id",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("groups").cast("bigint") - 1)).alias("grp"),
-        F.col("staked_to").alias("goal"),
-        F.col("bucket").alias("reach"),
+    goal = F.when(is_bonus, F.col("staked") + F.col("bonus_amount")).otherwise(F.col("staked"))
+    reach = F.expr(
+        "lead(mark) IGNORE NULLS OVER (PARTITION BY doc_id, grp ORDER BY goal, mark NULLS FIRST)"
     )
-    found = bonuses.drop("bucket").unionByName(totals, allowMissingColumns=True).withColumn(
-        "bucket",
-        F.expr(
-            "lead(reach) IGNORE NULLS OVER (PARTITION BY doc_id, grp ORDER BY goal, reach NULLS FIRST)"
-        ),
-    ).where("role is not null").drop("reach", "grp")
-    # Which bet of that hour. A bonus of nothing is spent with the next bet.
-    open_goals = (F.col("bonus_amount") > 0) & F.col("bucket").isNotNull()
-    bets = timed.where(F.col("role") == _BET).select(
-        "doc_id", "bucket", "role", "ts", "tx_id", F.col("staked").alias("goal"), F.col("ts").alias("bet_ts"),
-        "first_bet", "last_load", "groups", "bonus_amount", "bonus_type",
+    return (
+        timed.withColumns(
+            {
+                "grp": F.explode(groups),
+                "goal": goal.cast("decimal(38,2)"),
+                "mark": F.when(is_closing, F.col("bucket")),
+            }
+        )
+        .withColumn("reach", reach)
+        .where(F.col("place") == _DETAIL)
+        .withColumn(
+            "cell",
+            # Bonuses without a goal hour get a cell without bets.
+            F.when(is_bonus, F.when(F.col("bonus_amount") > 0, F.col("reach")))
+            .when(F.col("role") == _BET, F.col("bucket")),
+        )
+        .withColumn("cell", F.coalesce("cell", -1 - F.col("grp")))
     )
-    rows = found.withColumn("bet_ts", F.lit(None).cast("timestamp_ntz"))
+
+
+def _with_spent_time(marked: DataFrame) -> DataFrame:
+    """Bonuses with the bet that reaches their goal, searched among the bets of its hour.
+
+    A bonus of nothing is spent with the next bet.
+    """
     spent = F.expr(
         "lead(bet_ts) IGNORE NULLS OVER"
-        " (PARTITION BY doc_id, bucket ORDER BY goal, role DESC, ts, tx_id)"
+        " (PARTITION BY doc_id, cell ORDER BY goal, role DESC, ts, tx_id)"
     )
-    searched = (
-        rows.where(open_goals)
-        .unionByName(bets, allowMissingColumns=True)
+    return (
+        marked.withColumn("bet_ts", F.when(F.col("role") == _BET, F.col("ts")))
         .withColumn("spent_ts", spent)
         .where(F.col("role") == _BONUS)
+        .withColumn(
+            "spent_ts", F.when(F.col("bonus_amount") > 0, F.col("spent_ts")).otherwise(F.col("first_bet"))
+        )
     )
-    rest = rows.where(~F.coalesce(open_goals, F.lit(False))).withColumn(
-        "spent_ts", F.when(F.col("bonus_amount") <= 0, F.col("first_bet"))
-    )
-    columns = ["doc_id", "tx_id", "ts", "bonus_amount", "bonus_type", "first_bet", "last_load", "spent_ts"]
-    return searched.select(*columns).unionByName(rest.select(*columns))
 
 
 def bonus_daily(facts: DataFrame) -> DataFrame:

@@ -20,14 +20,16 @@ KINDS = ("is_bet", "is_load", "is_withdrawal", "is_prize", "is_bonus")
 def classify(ledger: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """One projection over the ledger; Catalyst drops what a report does not read."""
     kind, text, ts = F.col("movement_type"), F.col("description"), F.col("ts")
+    kind_norm, text_norm = F.col("kind_norm"), F.col("text_norm")
     return (
-        ledger.withColumns(
+        ledger.withColumns({"kind_norm": fold_text(kind), "text_norm": fold_text(text)})
+        .withColumns(
             {
                 "is_bet": M.is_bet(kind, rules),
-                "is_load": M.is_load(kind, rules),
+                "is_load": M.is_load(kind, kind_norm, rules),
                 "is_withdrawal": M.is_withdrawal(kind, rules),
                 "is_prize": M.is_prize(kind, rules),
-                "is_bonus": M.is_bonus(kind, rules),
+                "is_bonus": M.is_bonus(kind_norm, rules),
                 "day": F.to_date(ts),
                 "hour": F.hour(ts),
                 "n": F.col("amount").isNotNull().cast("int"),
@@ -38,9 +40,9 @@ def classify(ledger: DataFrame, rules: Rules = Rules()) -> DataFrame:
         .withColumns(
             {
                 "game": F.when(F.col("is_bet"), M.game_name(text, rules)),
-                "channel": F.when(F.col("is_load"), M.channel(text, kind, rules)),
+                "channel": F.when(F.col("is_load"), M.channel(text_norm, kind_norm, rules)),
                 "is_signup_bonus": F.when(
-                    F.col("is_bonus"), M.is_signup_bonus(kind, text, rules)
+                    F.col("is_bonus"), M.is_signup_bonus(kind_norm, text_norm, rules)
                 ),
                 "month": M.month_text(F.col("day")),
             }
@@ -51,6 +53,7 @@ def classify(ledger: DataFrame, rules: Rules = Rules()) -> DataFrame:
                 "method": F.when(F.col("is_load"), M.method(F.col("channel"))),
             }
         )
+        .drop("kind_norm", "text_norm")
     )
 
 

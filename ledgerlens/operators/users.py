@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import movement as M
 from ledgerlens.functions.rules import Rules
 from ledgerlens.operators.bets import bets_per_user, game_player_summary
-from ledgerlens.operators.buckets import hour_bucket
+from ledgerlens.operators.buckets import time_bucket
 from ledgerlens.operators.common import is_modo_load, labelled, with_keys
 from ledgerlens.operators.dedup import keep_one
 
@@ -256,7 +256,7 @@ def first_event(facts: DataFrame) -> DataFrame:
     """
     rows = with_keys(facts.where("is_bet or is_load"), "doc_id", "ts").select(
         "doc_id",
-        hour_bucket(F.col("ts")).alias("bucket"),
+        time_bucket(F.col("ts")).alias("bucket"),
         F.when(F.col("is_bet"), F.col("ts")).alias("bet"),
         F.when(F.col("is_load"), F.col("ts")).alias("load"),
     )
@@ -272,7 +272,7 @@ def first_event(facts: DataFrame) -> DataFrame:
         )
     )
     first = F.min("bet").over(Window.partitionBy("doc_id"))
-    here, later = F.col("bet") == F.col("first"), F.col("bucket") > hour_bucket(F.col("first"))
+    here, later = F.col("bet") == F.col("first"), F.col("bucket") > time_bucket(F.col("first"))
     return (
         buckets.withColumn("first", first)
         .where("first is not null")

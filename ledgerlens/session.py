@@ -15,6 +15,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Recording the call site of every column costs most of the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -23,6 +25,7 @@ def local_session(cores: int | str = 8, app_name: str = "ledgerlens") -> SparkSe
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(cores))
     )
