@@ -1,2 +1,149 @@
-QUERIES = {}
-ORACLES = {}
+"""Queries over files: report text derived from the event ledger, read back in."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerlens.plans import adapters as A
+from ledgerlens.plans.bundle import write_reports
+from ledgerlens.schema import REPORT_COLUMNS
+from ledgerlens.session import scratch_dir
+from ledgerlens.sources.ledger import LedgerStore
+from ledgerlens.sources.manifest import list_files, load_manifest, pending_files, save_manifest, upsert_manifest
+from ledgerlens.sources.reports import read_reports, unique_movements
+
+_PREAMBLE = ["Reporte de movimientos", "", ";".join(REPORT_COLUMNS)]
+
+
+def _with_header(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    yield pd.DataFrame({"value": _PREAMBLE})
+    yield from batches
+
+
+def report_text(ledger: DataFrame) -> DataFrame:
+    """Report lines of a ledger with es-AR amounts and day-first times."""
+    amount = F.translate(F.format_number("amount", 2), ",.", ".,")
+    return ledger.select(
+        F.concat_ws(
+            ";",
+            F.col("tx_id").cast("string"),
+            F.date_format("ts", "dd/MM/yyyy HH:mm:ss"),
+            "movement_type",
+            F.col("doc_id").cast("string"),
+            F.concat(F.lit('"'), "description", F.lit('"')),
+            amount,
+        ).alias("value")
+    )
+
+
+def write_report_files(ledger: DataFrame, target: str) -> None:
+    """Add one report file per task, each with its own free lines and header row."""
+    lines = report_text(ledger).repartition(4).mapInPandas(_with_header, "value string")
+    lines.write.mode("append").text(target)
+
+
+def _reports(spark: SparkSession, sf_dir: str) -> str:
+    target = scratch_dir(spark, "reports")
+    write_report_files(A.event_ledger(spark, sf_dir), target)
+    return target
+
+
+def ingest_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the generated reports, parsed and unique per transaction."""
+    rows = unique_movements(read_reports(spark, _reports(spark, sf_dir), glob="*.txt"))
+    return rows.withColumn("amount", F.col("amount").cast("double"))
+
+
+def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored ledger after the same reports came in twice under different names."""
+    reports = _reports(spark, sf_dir)
+    store = LedgerStore(spark, scratch_dir(spark, "ledger"))
+    store.ingest(reports, glob="*.txt")
+    write_report_files(A.event_ledger(spark, sf_dir), reports)
+    store.ingest(reports, glob="*.txt")
+    return store.read().withColumn("amount", F.col("amount").cast("double"))
+
+
+def _movements_in(spark: SparkSession, reports: str, files: DataFrame) -> DataFrame:
+    rows = read_reports(spark, reports, glob="*.txt")
+    return rows.join(files.select("file_name"), "file_name", "left_semi")
+
+
+def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Movements in pending files: all at first, none once the manifest holds the files."""
+    reports = _reports(spark, sf_dir)
+    files = list_files(spark, reports, "*.txt")
+    manifest_path = scratch_dir(spark, "manifest")
+    before = pending_files(files, load_manifest(spark, manifest_path))
+    save_manifest(upsert_manifest(load_manifest(spark, manifest_path), before), manifest_path)
+    after = pending_files(files, load_manifest(spark, manifest_path))
+    stages = [
+        _movements_in(spark, reports, some).agg(F.count("*").alias("movements")).select(
+            F.lit(stage).alias("stage"), "movements"
+        )
+        for stage, some in (("first", before), ("second", after))
+    ]
+    return stages[0].unionByName(stages[1])
+
+
+def manifest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Movements per file state after all files were read again with a later time."""
+    reports = _reports(spark, sf_dir)
+    files = list_files(spark, reports, "*.txt").select("file_name", "mod_time")
+    older = files.withColumn("mod_time", F.col("mod_time") - 60)
+    merged = upsert_manifest(older, files)
+    rows = read_reports(spark, reports, glob="*.txt").groupBy("file_name").agg(F.count("*").alias("n"))
+    current = merged.join(files.withColumn("current", F.lit(True)), ["file_name", "mod_time"], "left")
+    return (
+        rows.join(current, "file_name")
+        .groupBy(F.coalesce("current", F.lit(False)).alias("is_current"))
+        .agg(F.sum("n").alias("movements"))
+    )
+
+
+def report_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Total over the daily bet table of a written report bundle, per month."""
+    target = scratch_dir(spark, "bundle")
+    write_reports(
+        spark, A.order_ledger(spark, sf_dir), target, A.order_users(spark, sf_dir), A.ORDER_RULES, "parquet"
+    )
+    daily = spark.read.parquet(f"{target}/apuestas_diario")
+    games = spark.read.parquet(f"{target}/jugadores_unicos_por_juego")
+    by_month = daily.groupBy(F.date_format("Fecha_Dia", "yyyy-MM").alias("AñoMes")).agg(
+        F.sum(F.col("Recaudacion").cast("decimal(18,2)")).cast("double").alias("Recaudacion")
+    )
+    bets = games.groupBy("AñoMes").agg(
+        F.sum("Bets_Mes").alias("Bets"),
+        F.sum(F.col("Gastado_Mes").cast("decimal(18,2)")).cast("double").alias("Gastado"),
+    )
+    return by_month.join(bets, "AñoMes")
+
+
+QUERIES = {
+    "ingest_reports": ingest_reports,
+    "ingest_ledger": ingest_ledger,
+    "pending_files": pending,
+    "manifest_upsert": manifest_upsert,
+    "report_bundle": report_bundle,
+}
+
+
+def oracles() -> dict[str, str]:
+    from ledgerlens.plans.oracles import E, R
+
+    row = """SELECT tx_id, date_trunc('second', ts) AS ts, movement_type, doc_id, description,
+      CAST(amount AS DOUBLE) AS amount"""
+    return {
+        "ingest_reports": E + row + " FROM cls",
+        "ingest_ledger": E + row + ", month FROM cls",
+        "pending_files": "SELECT 'first' AS stage, count(*) AS movements FROM events UNION ALL SELECT 'second', 0",
+        "manifest_upsert": "SELECT true AS is_current, count(*) AS movements FROM events",
+        "report_bundle": R + """SELECT month AS "AñoMes", CAST(sum(amount) AS DOUBLE) AS "Recaudacion",
+          count(amount) AS "Bets", CAST(sum(amount) AS DOUBLE) AS "Gastado" FROM bets GROUP BY 1""",
+    }
+
+

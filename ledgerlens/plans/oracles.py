@@ -376,6 +376,6 @@ def oracles() -> dict[str, str]:
           CAST(sum(amount) AS DOUBLE) AS amount, min(ts) AS first_ts, max(ts) AS last_ts
           FROM cls GROUP BY doc_id, day, 3, 4, is_bet, is_load, is_withdrawal, is_prize, is_bonus,
           CASE WHEN is_bonus THEN regexp_matches(t || ' ' || d, 'registro|alta|bienvenida') END""",
-        **files.ORACLES,
-        **streams.ORACLES,
+        **files.oracles(),
+        **streams.oracles(),
     }
