@@ -42,7 +42,8 @@ def report_text(ledger: DataFrame) -> DataFrame:
 
 def write_report_files(ledger: DataFrame, target: str) -> None:
     """Add one report file per task, each with its own free lines and header row."""
-    lines = report_text(ledger).repartition(4).mapInPandas(_with_header, "value string")
+    tasks = ledger.sparkSession.sparkContext.defaultParallelism
+    lines = report_text(ledger).repartition(tasks).mapInPandas(_with_header, "value string")
     lines.write.mode("append").text(target)
 
 
