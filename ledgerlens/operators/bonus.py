@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.buckets import time_bucket
-from ledgerlens.operators.common import with_keys
+from ledgerlens.operators.common import counted, money, to_money, with_keys
 
 SIGNUP, DEPOSIT = "Registro", "Depósito"
 
@@ -42,7 +42,7 @@ def bonus_detail(facts: DataFrame, users: DataFrame | None = None, bonuses_per_t
     rows = (
         with_keys(facts.where("is_bet or is_bonus or is_load"), "doc_id", "ts")
         .withColumn("bucket", time_bucket(F.col("ts")))
-        .withColumn("stake", F.coalesce(F.greatest("amount", F.lit(0).cast("decimal(18,2)")), F.lit(0)))
+        .withColumn("stake", F.coalesce(F.greatest("cents", F.lit(0)), F.lit(0)))
     )
     timed = _with_next_bet(rows, _hours(rows, bonuses_per_task))
     detail = _with_spent_time(_with_goal_hour(timed))
@@ -56,7 +56,7 @@ def bonus_detail(facts: DataFrame, users: DataFrame | None = None, bonuses_per_t
         F.col("doc_id").alias("DNI_NORM"),
         "Email",
         F.col("ts").alias("Fecha_Bono"),
-        F.col("bonus_amount").cast("double").alias("Monto_Bono"),
+        to_money(F.col("bonus_cents")).alias("Monto_Bono"),
         F.col("bonus_type").alias("Tipo_Bono"),
         F.col("first_bet").isNotNull().alias("Hizo_Jugada_PostBono"),
         F.col("first_bet").alias("Fecha_Primera_Jugada"),
@@ -106,9 +106,9 @@ def _with_next_bet(rows: DataFrame, hours: DataFrame) -> DataFrame:
         "ts",
         "role",
         "tx_id",
-        F.when(F.col("role") == _BET, F.col("stake")).otherwise(0).cast("decimal(38,2)").alias("stake"),
+        F.when(F.col("role") == _BET, F.col("stake")).otherwise(0).cast("bigint").alias("stake"),
         F.when(F.col("role") == _BET, F.col("ts")).alias("bet_ts"),
-        F.when(F.col("role") == _BONUS, F.coalesce("amount", F.lit(0))).alias("bonus_amount"),
+        F.when(F.col("role") == _BONUS, F.coalesce("cents", F.lit(0))).alias("bonus_cents"),
         F.when(
             F.col("role") == _BONUS, F.when(F.col("is_signup_bonus"), SIGNUP).otherwise(DEPOSIT)
         ).alias("bonus_type"),
@@ -124,10 +124,10 @@ def _with_next_bet(rows: DataFrame, hours: DataFrame) -> DataFrame:
         none.cast("bigint").alias("tx_id"),
         F.when(F.col("place") == _OPENING, F.col("staked_before"))
         .otherwise(0)
-        .cast("decimal(38,2)")
+        .cast("bigint")
         .alias("stake"),
         F.when(F.col("place") == _CLOSING, F.col("next_bet")).alias("bet_ts"),
-        none.cast("decimal(18,2)").alias("bonus_amount"),
+        none.cast("bigint").alias("bonus_cents"),
         none.cast("string").alias("bonus_type"),
         "last_load",
         "groups",
@@ -138,7 +138,7 @@ def _with_next_bet(rows: DataFrame, hours: DataFrame) -> DataFrame:
         detail.unionByName(frame.where("groups > 0"))
         .withColumns(
             {
-                "staked": F.expr(f"sum(stake) {running}").cast("decimal(38,2)"),
+                "staked": F.expr(f"sum(stake) {running}"),
                 "first_bet": F.expr(f"lead(bet_ts) IGNORE NULLS {over})"),
                 "last_load": F.expr(f"first(last_load) {running}"),
                 "groups": F.expr(f"first(groups) {running}"),
@@ -163,7 +163,7 @@ def _with_goal_hour(timed: DataFrame) -> DataFrame:
         .when(is_bonus, F.array(F.pmod(F.xxhash64("tx_id"), "groups")))
         .otherwise(F.array(own))
     )
-    goal = F.when(is_bonus, F.col("staked") + F.col("bonus_amount")).otherwise(F.col("staked"))
+    goal = F.when(is_bonus, F.col("staked") + F.col("bonus_cents")).otherwise(F.col("staked"))
     reach = F.expr(
         "lead(mark) IGNORE NULLS OVER (PARTITION BY doc_id, grp ORDER BY goal, mark NULLS FIRST)"
     )
@@ -171,7 +171,7 @@ def _with_goal_hour(timed: DataFrame) -> DataFrame:
         timed.withColumns(
             {
                 "grp": F.explode(groups),
-                "goal": goal.cast("decimal(38,2)"),
+                "goal": goal,
                 "mark": F.when(is_closing, F.col("bucket")),
             }
         )
@@ -180,7 +180,7 @@ def _with_goal_hour(timed: DataFrame) -> DataFrame:
         .withColumn(
             "cell",
             # Bonuses without a goal hour get a cell without bets.
-            F.when(is_bonus, F.when(F.col("bonus_amount") > 0, F.col("reach")))
+            F.when(is_bonus, F.when(F.col("bonus_cents") > 0, F.col("reach")))
             .when(F.col("role") == _BET, F.col("bucket")),
         )
         .withColumn("cell", F.coalesce("cell", -1 - F.col("grp")))
@@ -201,7 +201,7 @@ def _with_spent_time(marked: DataFrame) -> DataFrame:
         .withColumn("spent_ts", spent)
         .where(F.col("role") == _BONUS)
         .withColumn(
-            "spent_ts", F.when(F.col("bonus_amount") > 0, F.col("spent_ts")).otherwise(F.col("first_bet"))
+            "spent_ts", F.when(F.col("bonus_cents") > 0, F.col("spent_ts")).otherwise(F.col("first_bet"))
         )
     )
 
@@ -212,10 +212,10 @@ def bonus_daily(facts: DataFrame) -> DataFrame:
         with_keys(facts.where("is_bonus"), "day")
         .groupBy(F.col("day").alias("Fecha_Dia"))
         .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("Bonos_Otorgados"),
-            F.coalesce(F.sum("amount"), F.lit(0)).cast("double").alias("Monto_Bonos"),
-            F.coalesce(F.sum(F.when(F.col("is_signup_bonus"), F.col("n"))), F.lit(0)).cast("bigint").alias("Registro_Cant"),
-            F.coalesce(F.sum(F.when(~F.col("is_signup_bonus"), F.col("n"))), F.lit(0)).cast("bigint").alias("Deposito_Cant"),
+            counted().alias("Bonos_Otorgados"),
+            money().alias("Monto_Bonos"),
+            counted(F.col("is_signup_bonus")).alias("Registro_Cant"),
+            counted(~F.col("is_signup_bonus")).alias("Deposito_Cant"),
         )
         .orderBy("Fecha_Dia")
     )

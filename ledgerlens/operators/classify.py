@@ -2,7 +2,7 @@
 
 Both results share the columns the reports read: the keys ``doc_id, day, game,
 channel``, the kind flags, and the measures ``n`` (movements with an amount),
-``amount``, ``first_ts`` and ``last_ts``. A report gives the same answer on either.
+``cents``, ``first_ts`` and ``last_ts``. A report gives the same answer on either.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ def classify(ledger: DataFrame, rules: Rules = Rules()) -> DataFrame:
                 "day": F.to_date(ts),
                 "hour": F.hour(ts),
                 "n": F.col("amount").isNotNull().cast("int"),
+                "cents": (F.col("amount") * 100).cast("bigint"),
                 "first_ts": ts,
                 "last_ts": ts,
             }
@@ -69,7 +70,7 @@ def daily_rollup(facts: DataFrame) -> DataFrame:
         facts.groupBy(*keys)
         .agg(
             F.sum("n").alias("n"),
-            F.sum("amount").alias("amount"),
+            F.sum("cents").alias("cents"),
             F.min("first_ts").alias("first_ts"),
             F.max("last_ts").alias("last_ts"),
         )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.rules import MODO, RETAIL
-from ledgerlens.operators.common import counted, labelled, where_sum, with_keys
+from ledgerlens.operators.common import counted, exact, labelled, to_money, where_sum, with_keys
 
 
 def kpi_summary(facts: DataFrame) -> DataFrame:
@@ -20,23 +20,27 @@ def kpi_summary(facts: DataFrame) -> DataFrame:
         F.bool_or("is_bet").alias("bet"),
         F.bool_or("is_load").alias("load"),
         counted(load).alias("n"),
-        where_sum("amount", load).alias("amount"),
+        where_sum("cents", load).alias("amount"),
         counted(load & (channel == MODO)).alias("modo_n"),
         counted(load & (channel == RETAIL)).alias("retail_n"),
-        where_sum("amount", load & (channel == MODO)).alias("modo_amount"),
-        where_sum("amount", load & (channel == RETAIL)).alias("retail_amount"),
+        where_sum("cents", load & (channel == MODO)).alias("modo_amount"),
+        where_sum("cents", load & (channel == RETAIL)).alias("retail_amount"),
     )
     known = F.col("doc_id").isNotNull()
     total = per_user.agg(
         F.coalesce(
-            F.try_divide(F.sum("amount").cast("double"), F.sum("n")), F.lit(0.0)
+            F.try_divide(to_money(F.sum(exact("amount"))), F.sum("n")), F.lit(0.0)
         ).alias("mean"),
         F.count_if(known).cast("double").alias("users"),
         F.count_if(known & F.col("bet")).cast("double").alias("bettors"),
         F.count_if(known & F.col("load")).cast("double").alias("loaders"),
         *[
             F.coalesce(F.sum(c), F.lit(0)).cast("double").alias(c)
-            for c in ("modo_n", "retail_n", "modo_amount", "retail_amount")
+            for c in ("modo_n", "retail_n")
+        ],
+        *[
+            to_money(F.coalesce(F.sum(exact(c)), F.lit(0))).alias(c)
+            for c in ("modo_amount", "retail_amount")
         ],
     )
     # KPI labels.

@@ -9,9 +9,11 @@ from ledgerlens.functions.rules import MODO, RETAIL, Rules
 from ledgerlens.operators.common import (
     counted,
     distinct_users,
+    exact,
     is_modo_load,
     labelled,
     money,
+    to_money,
     where_sum,
     with_keys,
 )
@@ -115,7 +117,7 @@ def before_after(facts: DataFrame, rules: Rules = Rules()) -> DataFrame:
     before, after = F.col("last_ts") < cut, F.col("first_ts") >= cut
     sums = facts.where("is_load or is_bet").agg(
         *[
-            where_sum("amount", F.col(kind) & side).cast("double").alias(f"{kind}_{name}")
+            money(F.col(kind) & side).alias(f"{kind}_{name}")
             for kind in ("is_load", "is_bet")
             for name, side in (("before", before), ("after", after))
         ]
@@ -169,9 +171,9 @@ def period_kpis(
     per_user = seen.groupBy("doc_id").agg(
         counted(modo).alias("modo_n"),
         counted(retail).alias("retail_n"),
-        where_sum("amount", modo).alias("modo_amount"),
-        where_sum("amount", retail).alias("retail_amount"),
-        where_sum("amount", F.col("is_bet") & in_days).alias("revenue"),
+        where_sum("cents", modo).alias("modo_amount"),
+        where_sum("cents", retail).alias("retail_amount"),
+        where_sum("cents", F.col("is_bet") & in_days).alias("revenue"),
         F.coalesce(F.bool_or(F.col("is_bet") & in_time), F.lit(False)).alias("bet"),
     )
     if users is not None:
@@ -182,7 +184,7 @@ def period_kpis(
     total = per_user.agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("modo_n", "retail_n")],
         *[
-            F.coalesce(F.sum(c), F.lit(0)).cast("double").alias(c)
+            to_money(F.coalesce(F.sum(exact(c)), F.lit(0))).alias(c)
             for c in ("modo_amount", "retail_amount", "revenue")
         ],
         F.count_if(F.col("bet") & F.col("known") & F.col("doc_id").isNotNull()).alias("bettors"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ from ledgerlens.operators import bets, bonus, kpis, loads, users
 from ledgerlens.operators.classify import classify, daily_rollup
 from ledgerlens.sources.tables import write_table
 
+TABLES_AT_ONCE = 8
+
 # Tables whose size the calendar, the channels or a label list bounds.
 SMALL = {
     "kpis", "recargas_monto", "recargas_cant", "deposito_promedio", "modo_diario", "comparativa_modo",
@@ -116,6 +119,12 @@ def write_reports(
     daily_rollup(facts).write.mode("overwrite").parquet(rollup_path)
     rollup = spark.read.parquet(rollup_path)
     tables = build_reports(facts, rollup, people, rules)
-    for name, table in tables.items():
+
+    def write(item: tuple[str, DataFrame]) -> None:
+        name, table = item
         write_table(table, f"{target}/{name}", fmt, single_file=name in SMALL)
+
+    # Most tables are small; writing several at once keeps the executors busy.
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        list(pool.map(write, tables.items()))
     return sorted(tables)

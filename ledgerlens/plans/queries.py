@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import text as X
 from ledgerlens.operators import bets, bonus, kpis, loads, users
 from ledgerlens.operators.classify import classify, daily_rollup
+from ledgerlens.operators.common import to_money
 from ledgerlens.operators.dedup import keep_one
 from ledgerlens.plans import adapters as A
 
@@ -101,7 +102,7 @@ def _rollup(spark, sf):
     rows = daily_rollup(events(spark, sf))
     return rows.select(
         "doc_id", "day", "game", "channel", "is_bet", "is_load",
-        "n", F.col("amount").cast("double").alias("amount"), "first_ts", "last_ts",
+        "n", to_money(F.col("cents")).alias("amount"), "first_ts", "last_ts",
     )
 
 

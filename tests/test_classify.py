@@ -70,6 +70,6 @@ def test_rollup_merges_a_day(ledger):
         )
     )
     got = daily_rollup(facts).orderBy("doc_id").collect()
-    assert [(r["doc_id"], r["n"], float(r["amount"]), r["first_ts"].hour, r["last_ts"].hour) for r in got] == [
-        (1, 1, 2.0, 10, 12), (2, 1, 5.0, 12, 12)
+    assert [(r["doc_id"], r["n"], r["cents"], r["first_ts"].hour, r["last_ts"].hour) for r in got] == [
+        (1, 1, 200, 10, 12), (2, 1, 500, 12, 12)
     ]
