@@ -13,15 +13,16 @@ WEEKDAYS = ("Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado", "Do
 
 @dataclass(frozen=True)
 class Rules:
-    # Movement patterns. Those marked "folded" meet text without
-    # accents in lower case, the others meet the raw text ignoring case.
-    bet_pattern: str = r"apuesta|jugada"
-    load_pattern_strict: str = r"^carga\s+saldo\s+desde\s*(?:modo|tj)\b"  # folded
-    load_pattern_broad: str = r"carga|dep(?:o|ó)sito"
-    withdrawal_pattern: str = r"retiro|transferencia salida"
-    prize_pattern: str = r"premio"
-    bonus_pattern: str = r"bonific"  # folded
-    signup_bonus_pattern: str = r"registro|alta|bienvenida"  # folded
+    # Words a movement type holds, whatever its case.
+    bet_words: tuple[str, ...] = ("apuesta", "jugada")
+    broad_load_words: tuple[str, ...] = ("carga", "deposito", "depósito")
+    withdrawal_words: tuple[str, ...] = ("retiro", "transferencia salida")
+    prize_words: tuple[str, ...] = ("premio",)
+    # Patterns on folded text, that is without accents in lower case.
+    strict_load_pattern: str = r"^carga\s+saldo\s+desde\s*(?:modo|tj)\b"
+    bonus_words: tuple[str, ...] = ("bonific",)
+    signup_bonus_words: tuple[str, ...] = ("registro", "alta", "bienvenida")
+    # Fixed value: what a bet's description says ahead of the game, whatever its case.
     game_prefix_pattern: str = r"jugada\s*-\s*"
     # Report name of a game and its pattern on the folded game name.
     game_patterns: tuple[tuple[str, str], ...] = (

@@ -20,15 +20,17 @@ KINDS = ("is_bet", "is_load", "is_withdrawal", "is_prize", "is_bonus")
 def classify(ledger: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """One projection over the ledger; Catalyst drops what a report does not read."""
     kind, text, ts = F.col("movement_type"), F.col("description"), F.col("ts")
-    kind_norm, text_norm = F.col("kind_norm"), F.col("text_norm")
+    kind_low, kind_norm, text_norm = F.col("kind_low"), F.col("kind_norm"), F.col("text_norm")
     return (
-        ledger.withColumns({"kind_norm": fold_text(kind), "text_norm": fold_text(text)})
+        ledger.withColumns(
+            {"kind_low": F.lower(kind), "kind_norm": fold_text(kind), "text_norm": fold_text(text)}
+        )
         .withColumns(
             {
-                "is_bet": M.is_bet(kind, rules),
-                "is_load": M.is_load(kind, kind_norm, rules),
-                "is_withdrawal": M.is_withdrawal(kind, rules),
-                "is_prize": M.is_prize(kind, rules),
+                "is_bet": M.is_bet(kind_low, rules),
+                "is_load": M.is_load(kind_low, kind_norm, rules),
+                "is_withdrawal": M.is_withdrawal(kind_low, rules),
+                "is_prize": M.is_prize(kind_low, rules),
                 "is_bonus": M.is_bonus(kind_norm, rules),
                 "day": F.to_date(ts),
                 "hour": F.hour(ts),
@@ -54,7 +56,7 @@ def classify(ledger: DataFrame, rules: Rules = Rules()) -> DataFrame:
                 "method": F.when(F.col("is_load"), M.method(F.col("channel"))),
             }
         )
-        .drop("kind_norm", "text_norm")
+        .drop("kind_low", "kind_norm", "text_norm")
     )
 
 
