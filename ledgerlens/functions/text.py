@@ -17,8 +17,8 @@ WHITESPACE = (
 
 
 def _latin_fold_table() -> tuple[str, str]:
-    """Pairs (character, base character) for every Latin, space or full-width
-    character whose compatibility decomposition leaves one base character."""
+    """Arguments of ``translate``: every Latin, space or full-width character whose
+    compatibility decomposition leaves one base character, and that character."""
     blocks = chain(
         range(0x00A0, 0x0250),  # Latin-1, Latin Extended A and B
         range(0x1E00, 0x1F00),  # Latin Extended Additional
@@ -28,10 +28,12 @@ def _latin_fold_table() -> tuple[str, str]:
     )
     pairs = []
     for char in map(chr, blocks):
-        parts = [c for c in unicodedata.normalize("NFKD", char) if unicodedata.category(c) != "Mn"]
+        parts = [c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)]
         if len(parts) == 1 and parts[0] != char:
             pairs.append((char, parts[0]))
-    return "".join(p[0] for p in pairs), "".join(p[1] for p in pairs)
+    # Characters without a counterpart are deleted: the combining marks themselves.
+    marks = "".join(c for c in map(chr, range(0x0300, 0x10000)) if unicodedata.combining(c))
+    return "".join(p[0] for p in pairs) + marks, "".join(p[1] for p in pairs)
 
 
 _ACCENTED, _PLAIN = _latin_fold_table()
@@ -43,7 +45,7 @@ def fold_text(text: Column) -> Column:
     Plain ASCII values, the usual case, skip the character table: they are the
     ones whose byte and character counts agree.
     """
-    bare = F.translate(F.regexp_replace(text, r"\p{Mn}+", ""), _ACCENTED, _PLAIN)
+    bare = F.translate(text, _ACCENTED, _PLAIN)
     folded = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.lower(bare))
     return F.coalesce(folded, F.lit(""))
 

@@ -22,9 +22,7 @@ def classify(ledger: DataFrame, rules: Rules = Rules()) -> DataFrame:
     kind, text, ts = F.col("movement_type"), F.col("description"), F.col("ts")
     kind_low, kind_norm, text_norm = F.col("kind_low"), F.col("kind_norm"), F.col("text_norm")
     return (
-        ledger.withColumns(
-            {"kind_low": F.lower(kind), "kind_norm": fold_text(kind), "text_norm": fold_text(text)}
-        )
+        ledger.withColumns({"kind_low": F.lower(kind), "kind_norm": fold_text(kind)})
         .withColumns(
             {
                 "is_bet": M.is_bet(kind_low, rules),
@@ -40,6 +38,8 @@ def classify(ledger: DataFrame, rules: Rules = Rules()) -> DataFrame:
                 "last_ts": ts,
             }
         )
+        # Bets, most of a ledger, never need their description folded.
+        .withColumn("text_norm", F.when(F.col("is_load") | F.col("is_bonus"), fold_text(text)))
         .withColumns(
             {
                 "game": F.when(F.col("is_bet"), M.game_name(text, rules)),

@@ -22,7 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def event_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intraday movements of all kinds from ``events``."""
-    event, k = F.col("event_type"), F.regexp_extract("props", "([0-9]+)", 1).cast("int")
+    event = F.col("event_type")
+    # props is {"k": <number>}; cut, not matched, as the value enters many expressions.
+    k = F.substr("props", F.lit(7), F.length("props") - 7).cast("int")
     games = F.array(*map(F.lit, ("Tombo Express", "Tómbola", "Quini 6", "Loto Plus")))
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("tx_id"),
