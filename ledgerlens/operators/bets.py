@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import movement as M
 from ledgerlens.functions.rules import Rules
 from ledgerlens.functions.text import money_text
-from ledgerlens.operators.common import counted, day_range, distinct_users, money, with_keys
+from ledgerlens.operators.common import counted, day_range, distinct_users, money, month_range, with_keys
 
 
 def client_month_game(facts: DataFrame) -> DataFrame:
@@ -62,6 +62,11 @@ def bets_month_game(facts: DataFrame) -> DataFrame:
     )
 
 
+def game_evolution(facts: DataFrame, start, end) -> DataFrame:
+    """Bets per month and game; a range inside a month takes in the whole month."""
+    return month_range(bets_month_game(facts), "AñoMes", start, end)
+
+
 def game_player_summary(facts: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Bets and spend per player for each named game.
 

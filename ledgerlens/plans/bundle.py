@@ -25,13 +25,18 @@ SMALL = {
 
 
 def build_reports(
-    facts: DataFrame, rollup: DataFrame, people: DataFrame | None = None, rules: Rules = Rules()
+    facts: DataFrame,
+    rollup: DataFrame,
+    people: DataFrame | None = None,
+    rules: Rules = Rules(),
+    bonuses: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Output name -> table. ``facts`` is the classified ledger, ``rollup`` its daily
-    roll-up; reports that need no single movement read the smaller roll-up."""
+    roll-up; reports that need no single movement read the smaller roll-up.
+    ``bonuses`` is the bonus detail if it is already stored."""
     start: datetime = rules.channel_start
     by_day = rollup if start.time() == time() else facts
-    detail = bonus.bonus_detail(facts, people)
+    detail = bonus.bonus_detail(facts, people) if bonuses is None else bonuses
     summary = kpis.kpi_summary(rollup)
     tables = {
         "recargas_monto": loads.loads_daily_amount_pivot(rollup, rules),
@@ -112,13 +117,18 @@ def write_reports(
     """Write every table under ``target`` and return their names.
 
     The daily roll-up is written first: one pass over the ledger feeds all tables
-    that need no single movement.
+    that need no single movement. So is the bonus detail, which two tables share.
     """
     facts = classify(ledger, rules)
-    rollup_path = f"{target}/_work/daily_rollup"
-    daily_rollup(facts).write.mode("overwrite").parquet(rollup_path)
-    rollup = spark.read.parquet(rollup_path)
-    tables = build_reports(facts, rollup, people, rules)
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        path = f"{target}/_work/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    rollup = stored(daily_rollup(facts), "daily_rollup")
+    bonuses = stored(bonus.bonus_detail(facts, people), "bonus_detail")
+    tables = build_reports(facts, rollup, people, rules, bonuses)
 
     def write(item: tuple[str, DataFrame]) -> None:
         name, table = item

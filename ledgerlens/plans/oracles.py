@@ -302,6 +302,8 @@ def oracles() -> dict[str, str]:
         "revenue_daily": R + f"""SELECT day AS "Fecha_Dia", {_SUM} AS "Recaudacion" FROM bets GROUP BY 1""",
         "bets_month_game": R + """SELECT month AS "AñoMes", game AS "Juego", count(amount) AS "Total_Bets"
           FROM bets GROUP BY 1, 2""",
+        "game_evolution": R + """SELECT month AS "AñoMes", game AS "Juego", count(amount) AS "Total_Bets"
+          FROM bets WHERE month BETWEEN '1996-02' AND '1998-07' GROUP BY 1, 2""",
         "inactive_users": EU + """SELECT user_id, username, email, signup_ts FROM users
           WHERE user_id NOT IN (SELECT doc_id FROM cls)""",
         "period_kpis": EU + f""", p AS (SELECT

@@ -19,6 +19,7 @@ from ledgerlens.plans import adapters as A
 Query = Callable[[SparkSession, str], DataFrame]
 
 PERIOD = (datetime(2024, 1, 5), datetime(2024, 1, 20))
+MONTHS = (datetime(1996, 2, 20), datetime(1998, 7, 7))
 TOP_GAME = "Tómbola"
 LINE_ORDER = [
     "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax",
@@ -149,6 +150,7 @@ def catalogue() -> dict[str, Query]:
         "first_event_intraday": _on_events(users.first_event),
         "revenue_daily": _on_orders(bets.revenue_daily),
         "bets_month_game": _on_orders(bets.bets_month_game),
+        "game_evolution": _on_orders(lambda f: bets.game_evolution(f, *MONTHS)),
         "avg_deposit_daily": _on_events(loads.avg_deposit_daily),
         "inactive_users": lambda s, d: users.inactive_users(events(s, d), A.event_users(s, d)),
         "period_kpis": lambda s, d: loads.period_kpis(events(s, d), *PERIOD, A.event_users(s, d)),
