@@ -76,6 +76,12 @@ def method(channel_name: Column) -> Column:
     return F.when(channel_name == MODO, MODO).otherwise(RETAIL)
 
 
+def wall_time(value) -> Column:
+    """A date, time or text as a timestamp without zone; a plain datetime literal
+    would depend on the session's zone."""
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def month_text(when: Column) -> Column:
     """``yyyy-MM`` of a date or timestamp."""
     return F.date_format(F.to_date(when), "yyyy-MM")

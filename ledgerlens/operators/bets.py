@@ -149,33 +149,30 @@ def game_calendar(facts: DataFrame, top: int = 6, start=None, end=None) -> DataF
     Days without a bet show 0, days outside ``start``..``end`` show NULL. The spine
     is at most ``top`` games by the days between the first and the last bet.
     """
-    # Games, bounds and cells all start from one aggregation, whose exchange is reused.
-    cells = (
-        with_keys(facts.where("is_bet"), "game")
-        .groupBy(F.col("day").alias("Fecha_Dia"), F.col("game").alias("Juego"))
-        .agg(counted().alias("Bets"))
-    )
+    played = with_keys(facts.where("is_bet"), "game")
+    cells = played.groupBy("day", F.col("game").alias("Juego")).agg(counted().alias("bets"))
+    # A game carries its own days, at most one entry per calendar day, so that the
+    # chosen games need no second pass over the bets.
+    cell = F.when(F.col("day").isNotNull(), F.struct("day", "bets"))
     games = (
         cells.groupBy("Juego")
-        .agg(F.sum("Bets").alias("total"))
+        .agg(
+            F.sum("bets").alias("total"),
+            F.map_from_entries(F.collect_list(cell)).alias("by_day"),
+        )
         .orderBy(F.desc("total"), "Juego")
         .limit(top)
     )
-    bounds = cells.agg(F.min("Fecha_Dia").alias("lo"), F.max("Fecha_Dia").alias("hi"))
-    spine = games.select(
-        "Juego",
-        F.explode(
-            F.sequence(bounds.select("lo").scalar(), bounds.select("hi").scalar())
-        ).alias("Fecha_Dia"),
-    )
-    shown = F.coalesce(F.col("Bets"), F.lit(0))
+    bounds = played.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+    days = F.sequence(bounds.select("lo").scalar(), bounds.select("hi").scalar())
     day = F.col("Fecha_Dia")
+    shown = F.coalesce(F.try_element_at("by_day", day), F.lit(0))
     if start is not None:
-        shown = F.when(day >= F.to_date(F.lit(start)), shown)
+        shown = F.when(day >= F.to_date(M.wall_time(start)), shown)
     if end is not None:
-        shown = F.when(day <= F.to_date(F.lit(end)), shown)
+        shown = F.when(day <= F.to_date(M.wall_time(end)), shown)
     return (
-        spine.join(cells, ["Fecha_Dia", "Juego"], "left")
+        games.select("Juego", "by_day", F.explode(days).alias("Fecha_Dia"))
         .select("Fecha_Dia", "Juego", shown.cast("bigint").alias("Bets"))
         .orderBy("Fecha_Dia", "Juego")
     )

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.movement import wall_time
 from ledgerlens.operators.buckets import time_bucket
 from ledgerlens.operators.common import counted, money, to_money, with_keys
 
@@ -272,7 +273,7 @@ def bonus_funnel(rates: DataFrame) -> DataFrame:
 def in_period(df: DataFrame, column: str, start, end) -> DataFrame:
     """Whole-day range on a date or time column."""
     return df.where(
-        F.to_date(F.col(column)).between(F.to_date(F.lit(start)), F.to_date(F.lit(end)))
+        F.to_date(F.col(column)).between(F.to_date(wall_time(start)), F.to_date(wall_time(end)))
     )
 
 

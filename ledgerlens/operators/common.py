@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.movement import wall_time
 from ledgerlens.functions.rules import MODO
 
 
@@ -71,8 +72,8 @@ def day_range(df: DataFrame, column: str, start, end, inclusive_end: bool = Fals
     """
     c = F.col(column)
     if inclusive_end:
-        return df.where((c >= F.lit(start)) & (F.to_date(c) <= F.to_date(F.lit(end))))
-    return df.where((c >= F.lit(start)) & (c <= F.lit(end)))
+        return df.where((c >= wall_time(start)) & (F.to_date(c) <= F.to_date(wall_time(end))))
+    return df.where((c >= wall_time(start)) & (c <= wall_time(end)))
 
 
 def month_range(df: DataFrame, column: str, start, end) -> DataFrame:

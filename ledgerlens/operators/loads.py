@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.movement import wall_time
 from ledgerlens.functions.rules import MODO, RETAIL, Rules
 from ledgerlens.operators.common import (
     counted,
@@ -113,7 +114,7 @@ def before_after(facts: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
     On a daily roll-up the start must be a midnight, as a row covers a day.
     """
-    cut = F.lit(rules.channel_start)
+    cut = wall_time(rules.channel_start)
     before, after = F.col("last_ts") < cut, F.col("first_ts") >= cut
     sums = facts.where("is_load or is_bet").agg(
         *[
@@ -153,12 +154,12 @@ def period_kpis(
     only registered bettors count. Loads of both channels stand in for the number
     of users who loaded, as no finer source is kept.
     """
-    day, start_day, end_day = F.col("day"), F.to_date(F.lit(start)), F.to_date(F.lit(end))
+    day, start_day, end_day = F.col("day"), F.to_date(wall_time(start)), F.to_date(wall_time(end))
     in_days = (day >= start_day) & (day <= end_day)
     until = F.to_date(F.col("first_ts")) <= end_day if inclusive_end else (
-        F.col("first_ts") <= F.lit(end)
+        F.col("first_ts") <= wall_time(end)
     )
-    in_time = (F.col("last_ts") >= F.lit(start)) & until
+    in_time = (F.col("last_ts") >= wall_time(start)) & until
     modo = F.col("is_load") & in_days & (F.col("channel") == MODO)
     retail = F.col("is_load") & in_days & (F.col("channel") == RETAIL)
 
@@ -206,7 +207,7 @@ def period_kpis(
 def mean_daily_deposit(facts: DataFrame, start, end, rules: Rules = Rules()) -> DataFrame:
     """Mean over the range of the daily average deposits; days without loads do not count."""
     day = F.col("Fecha_Dia")
-    in_days = (day >= F.to_date(F.lit(start))) & (day <= F.to_date(F.lit(end)))
+    in_days = (day >= F.to_date(wall_time(start))) & (day <= F.to_date(wall_time(end)))
     return (
         avg_deposit_daily(facts, rules)
         .where(in_days)

@@ -152,7 +152,7 @@ def monthly_growth(facts: DataFrame) -> DataFrame:
 
 def milestone_counts(facts: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Six user counts since the two milestones, from one row of flags per user."""
-    launch, start = F.lit(rules.launch), F.lit(rules.channel_start)
+    launch, start = M.wall_time(rules.launch), M.wall_time(rules.channel_start)
     bet, last = F.col("is_bet"), F.col("last_ts")
     new_game = M.matches_game(F.col("game_norm"), rules.new_games_pattern)
 
@@ -213,7 +213,7 @@ def keep_top(df: DataFrame, keys: list[str], ordering: list, top: int) -> DataFr
 
 
 def new_users_since(users: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    return users.where(F.col("signup_ts") >= F.lit(rules.channel_start)).select(
+    return users.where(F.col("signup_ts") >= M.wall_time(rules.channel_start)).select(
         F.col("user_id").alias("Documento"),
         F.col("signup_ts").alias("Fecha_Alta"),
         F.col("username").alias("Usuario"),
@@ -234,7 +234,7 @@ def reactivated_users(facts: DataFrame, users: DataFrame, rules: Rules = Rules()
         with_keys(facts.where(is_modo_load()), "doc_id", "first_ts")
         .groupBy(F.col("doc_id").alias("Documento"))
         .agg(F.min("first_ts").alias("Fecha"))
-        .where(F.col("Fecha") >= F.lit(rules.channel_start))
+        .where(F.col("Fecha") >= M.wall_time(rules.channel_start))
     )
     lo, hi = rules.old_signup_years
     old = users.where(F.year("signup_ts").between(lo, hi)).select(

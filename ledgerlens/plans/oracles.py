@@ -183,7 +183,7 @@ def oracles() -> dict[str, str]:
         " / nullif(count(amount) FILTER (WHERE channel = '{c}'), 0)"
     )
     mean_columns = ", ".join(
-        f'coalesce(avg("{c}"), 0.0) AS "Promedio_Diario_{c}"' for c in ("MODO", "Retail")
+        f'round(coalesce(avg("{c}"), 0.0), 6) AS "Promedio_Diario_{c}"' for c in ("MODO", "Retail")
     )
     launch, start = "TIMESTAMP '2024-01-10'", "TIMESTAMP '2024-01-15'"
     by_channel = f"""SELECT channel AS "Canal", count(amount) AS "Recargas",

@@ -20,3 +20,28 @@ def test_query(spark, name):
 
 def test_entry(spark):
     assert spark_entry.entry(spark).columns == ["Fecha_Dia", "MODO", "Retail"]
+
+
+@pytest.fixture
+def strange_session(spark):
+    settings = {
+        "spark.sql.session.timeZone": "America/Sao_Paulo",
+        "spark.sql.ansi.enabled": "false",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key, value in old.items():
+        spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["before_after", "period_kpis", "mean_daily_deposit", "bonus_by_type", "bonus_rates", "game_calendar",
+     "milestone_counts", "channel_retention", "monthly_growth", "dayfirst_parse", "reactivated_users"],
+)
+def test_results_do_not_depend_on_the_session(strange_session, name):
+    assert differences(strange_session, SMALL, name, QUERIES[name], ORACLES[name]) == []

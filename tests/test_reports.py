@@ -100,12 +100,16 @@ def test_top_text_and_ties(facts, registry):
 
 @pytest.fixture(scope="module")
 def event_facts(spark):
-    return Q.events(spark, SMALL).cache()
+    cached = Q.events(spark, SMALL).cache()
+    yield cached
+    cached.unpersist()
 
 
 @pytest.fixture(scope="module")
 def order_facts(spark):
-    return Q.orders(spark, SMALL).cache()
+    cached = Q.orders(spark, SMALL).cache()
+    yield cached
+    cached.unpersist()
 
 
 def by_key(df):
