@@ -21,32 +21,41 @@ from ledgerlens.operators.common import counted, money, to_money, with_keys
 
 SIGNUP, DEPOSIT = "Registro", "Depósito"
 
-# Role of a row, and its place within its hour.
+# Role of a row, and its place within its bucket.
 _BET, _BONUS = 0, 1
 _OPENING, _DETAIL, _CLOSING = 0, 1, 2
 
 
-def bonus_detail(facts: DataFrame, users: DataFrame | None = None, bonuses_per_task: int = 1_000_000) -> DataFrame:
+def bonus_detail(
+    facts: DataFrame,
+    users: DataFrame | None = None,
+    receivers: DataFrame | None = None,
+    bonuses_per_task: int = 1_000_000,
+    bucket_hours: int = 6,
+) -> DataFrame:
     """One row per bonus with the times of its first bet and its exhaustion.
 
     Both are searches for the next bet of the same user, by time and by cumulative
-    stake. A user's history is cut into hour buckets. Per user only one row per hour
-    meets (prefix stake, next bet in a later hour, last load); detail rows meet only
-    those of their own hour. The search by stake first finds the hour from the
-    hourly totals, with a user's bonuses dealt over several groups when there are
-    many, then the bet inside that hour. All windows run forward once, so the work is
-    linear and no pair of rows is ever built; the detail is read once and moves
-    through three windows.
-
-    Needs the classified ledger.
+    stake. A user's history is cut into time buckets. Per user only one row per bucket
+    meets (prefix stake, next bet in a later bucket, last load); detail rows meet only
+    those of their own bucket. The search by stake first finds the bucket from the
+    bucket totals, with a user's bonuses dealt over several groups when there are
+    many, then the bet inside it. All windows run forward once, so the work is linear
+    and no pair of rows is ever built; the detail moves through three windows.
+
+    ``receivers`` (``doc_id``, every user with a bonus) keeps the movements of all
+    other users out of the shuffles; worth giving when it is small enough to
+    broadcast. Needs the classified ledger.
     """
     rows = (
         with_keys(facts.where("is_bet or is_bonus or is_load"), "doc_id", "ts")
-        .withColumn("bucket", time_bucket(F.col("ts")))
+        .withColumn("bucket", time_bucket(F.col("ts"), bucket_hours))
         .withColumn("stake", F.coalesce(F.greatest("cents", F.lit(0)), F.lit(0)))
     )
-    timed = _with_next_bet(rows, _hours(rows, bonuses_per_task))
-    detail = _with_spent_time(_with_goal_hour(timed))
+    if receivers is not None:
+        rows = rows.join(receivers.select("doc_id"), "doc_id", "left_semi")
+    timed = _with_next_bet(rows, _buckets(rows, bonuses_per_task))
+    detail = _with_spent_time(_with_goal_bucket(timed))
     if users is not None:
         people = users.select(F.col("user_id").alias("doc_id"), F.col("email").alias("Email"))
         detail = detail.join(people, "doc_id", "left")
@@ -66,34 +75,34 @@ def bonus_detail(facts: DataFrame, users: DataFrame | None = None, bonuses_per_t
     )
 
 
-def _hours(rows: DataFrame, bonuses_per_task: int) -> DataFrame:
-    """One row per user and hour: stake before it, next bet after it, the user's last
+def _buckets(rows: DataFrame, bonuses_per_task: int) -> DataFrame:
+    """One row per user and bucket: stake before it, next bet after it, the user's last
     load and the number of groups for the search by stake."""
-    per_hour = rows.groupBy("doc_id", "bucket").agg(
+    per_bucket = rows.groupBy("doc_id", "bucket").agg(
         F.coalesce(F.sum(F.when(F.col("is_bet"), F.col("stake"))), F.lit(0)).alias("staked"),
-        F.min(F.when(F.col("is_bet"), F.col("ts"))).alias("hour_bet"),
-        F.max(F.when(F.col("is_load"), F.col("ts"))).alias("hour_load"),
-        F.count_if("is_bonus").alias("hour_bonuses"),
+        F.min(F.when(F.col("is_bet"), F.col("ts"))).alias("bucket_bet"),
+        F.max(F.when(F.col("is_load"), F.col("ts"))).alias("bucket_load"),
+        F.count_if("is_bonus").alias("bucket_bonuses"),
     )
     user = Window.partitionBy("doc_id")
     earlier = user.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     later = user.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    return per_hour.select(
+    return per_bucket.select(
         "doc_id",
         "bucket",
         F.coalesce(F.sum("staked").over(earlier), F.lit(0)).alias("staked_before"),
-        F.min("hour_bet").over(later).alias("next_bet"),
-        F.max("hour_load").over(user).alias("last_load"),
-        F.ceil(F.sum("hour_bonuses").over(user) / F.lit(bonuses_per_task)).alias("groups"),
+        F.min("bucket_bet").over(later).alias("next_bet"),
+        F.max("bucket_load").over(user).alias("last_load"),
+        F.ceil(F.sum("bucket_bonuses").over(user) / F.lit(bonuses_per_task)).alias("groups"),
     )
 
 
-def _with_next_bet(rows: DataFrame, hours: DataFrame) -> DataFrame:
+def _with_next_bet(rows: DataFrame, buckets: DataFrame) -> DataFrame:
     """Bets and bonuses of users with a bonus, with the user's cumulative stake and
-    the next later bet, and one closing row per hour with the stake up to its end.
+    the next later bet, and one closing row per bucket with the stake up to its end.
 
-    Inside an hour, rows run in time order with bets before bonuses of the same
-    time. Two rows framing the hour carry what lies outside: ahead of it the stake
+    Inside a bucket, rows run in time order with bets before bonuses of the same
+    time. Two rows framing the bucket carry what lies outside: ahead of it the stake
     so far, behind it the next bet.
     """
     none = F.lit(None)
@@ -116,7 +125,7 @@ def _with_next_bet(rows: DataFrame, hours: DataFrame) -> DataFrame:
         none.cast("timestamp_ntz").alias("last_load"),
         none.cast("bigint").alias("groups"),
     )
-    frame = hours.select(
+    frame = buckets.select(
         "doc_id",
         "bucket",
         F.explode(F.array(F.lit(_OPENING), F.lit(_CLOSING))).alias("place"),
@@ -150,12 +159,12 @@ def _with_next_bet(rows: DataFrame, hours: DataFrame) -> DataFrame:
     )
 
 
-def _with_goal_hour(timed: DataFrame) -> DataFrame:
-    """Bets, and bonuses with the hour in which the user's stakes reach their goal.
+def _with_goal_bucket(timed: DataFrame) -> DataFrame:
+    """Bets, and bonuses with the bucket in which the user's stakes reach their goal.
 
     The goal is the stake at the bonus plus its amount. The first closing row at or
-    above it names the hour; each of a user's groups has its own copy of them. Bets
-    stay in groups of their own, one per hour.
+    above it names the bucket; each of a user's groups has its own copy of them. Bets
+    stay in groups of their own, one per bucket.
     """
     is_bonus, is_closing = F.col("role") == _BONUS, F.col("place") == _CLOSING
     own = -1 - F.col("bucket")
@@ -180,7 +189,7 @@ def _with_goal_hour(timed: DataFrame) -> DataFrame:
         .where(F.col("place") == _DETAIL)
         .withColumn(
             "cell",
-            # Bonuses without a goal hour get a cell without bets.
+            # Bonuses without a goal bucket get a cell without bets.
             F.when(is_bonus, F.when(F.col("bonus_cents") > 0, F.col("reach")))
             .when(F.col("role") == _BET, F.col("bucket")),
         )
@@ -189,7 +198,7 @@ def _with_goal_hour(timed: DataFrame) -> DataFrame:
 
 
 def _with_spent_time(marked: DataFrame) -> DataFrame:
-    """Bonuses with the bet that reaches their goal, searched among the bets of its hour.
+    """Bonuses with the bet that reaches their goal, searched among the bets of its bucket.
 
     A bonus of nothing is spent with the next bet.
     """

@@ -247,16 +247,16 @@ def reactivated_users(facts: DataFrame, users: DataFrame, rules: Rules = Rules()
     return old.join(first_load, "Documento")
 
 
-def first_event(facts: DataFrame) -> DataFrame:
+def first_event(facts: DataFrame, bucket_hours: int = 6) -> DataFrame:
     """Per bettor: first bet, first load after it and next bet after it.
 
-    "After the first bet" is solved inside one hour bucket and then across the
-    user's buckets. A user's detail rows are thus spread over the hours, and only
-    one row per user and hour meets in one place. Needs the classified ledger.
+    "After the first bet" is solved inside one time bucket and then across the
+    user's buckets. A user's detail rows are thus spread over the buckets, and only
+    one row per user and bucket meets in one place. Needs the classified ledger.
     """
     rows = with_keys(facts.where("is_bet or is_load"), "doc_id", "ts").select(
         "doc_id",
-        time_bucket(F.col("ts")).alias("bucket"),
+        time_bucket(F.col("ts"), bucket_hours).alias("bucket"),
         F.when(F.col("is_bet"), F.col("ts")).alias("bet"),
         F.when(F.col("is_load"), F.col("ts")).alias("load"),
     )
@@ -272,7 +272,7 @@ def first_event(facts: DataFrame) -> DataFrame:
         )
     )
     first = F.min("bet").over(Window.partitionBy("doc_id"))
-    here, later = F.col("bet") == F.col("first"), F.col("bucket") > time_bucket(F.col("first"))
+    here, later = F.col("bet") == F.col("first"), F.col("bucket") > time_bucket(F.col("first"), bucket_hours)
     return (
         buckets.withColumn("first", first)
         .where("first is not null")

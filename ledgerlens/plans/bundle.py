@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.rules import Rules
 from ledgerlens.operators import bets, bonus, kpis, loads, users
 from ledgerlens.operators.classify import classify, daily_rollup
+from ledgerlens.operators.common import with_keys
 from ledgerlens.sources.tables import write_table
 
 TABLES_AT_ONCE = 8
 
+#: User keys are broadcast up to this many (16 bytes each or so).
+BROADCAST_USERS = 2_000_000
+
 # Tables whose size the calendar, the channels or a label list bounds.
 SMALL = {
     "kpis", "recargas_monto", "recargas_cant", "deposito_promedio", "modo_diario", "comparativa_modo",
@@ -127,7 +131,10 @@ def write_reports(
         return spark.read.parquet(path)
 
     rollup = stored(daily_rollup(facts), "daily_rollup")
-    bonuses = stored(bonus.bonus_detail(facts, people), "bonus_detail")
+    receivers = with_keys(rollup.where("is_bonus"), "doc_id").select("doc_id").distinct()
+    few = receivers.limit(BROADCAST_USERS + 1).count() <= BROADCAST_USERS
+    detail = bonus.bonus_detail(facts, people, F.broadcast(receivers) if few else None)
+    bonuses = stored(detail, "bonus_detail")
     tables = build_reports(facts, rollup, people, rules, bonuses)
 
     def write(item: tuple[str, DataFrame]) -> None:

@@ -62,6 +62,9 @@ def test_detail_against_brute_force(spark, seed, users, per_task):
         for r in bonus.bonus_detail(facts, bonuses_per_task=per_task).collect()
     }
     assert got == brute(data)
+    receivers = facts.where("is_bonus").select("doc_id").distinct()
+    narrowed = bonus.bonus_detail(facts, receivers=receivers, bucket_hours=1)
+    assert {r[0]: (r[7], r[8], r[9]) for r in narrowed.collect()} == got
 
 
 def test_types_rates_and_long_form(facts):
