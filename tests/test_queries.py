@@ -5,8 +5,10 @@ from compare import differences
 from conftest import SMALL
 
 import __spark_entry__ as spark_entry
+from ledgerlens.plans.oracles import oracles
+from ledgerlens.plans.queries import catalogue
 
-QUERIES, ORACLES = spark_entry.queries(), spark_entry.oracle_sql()
+QUERIES, ORACLES = catalogue(), oracles()
 
 
 def test_every_query_has_a_twin():
@@ -18,6 +20,11 @@ def test_query(spark, name):
     assert differences(spark, SMALL, name, QUERIES[name], ORACLES[name]) == []
 
 
+def test_the_driver_sees_every_query():
+    assert set(QUERIES) <= set(spark_entry.queries())
+    assert set(ORACLES) <= set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
+
+
 def test_entry(spark):
     assert spark_entry.entry(spark).columns == ["Fecha_Dia", "MODO", "Retail"]
 
