@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import quality, toxicity
+from ledgerlens.llm import decontaminate, quality, secrets, toxicity
 from ledgerlens.llm.common import load
 
 
@@ -33,4 +33,44 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, labels, held_out=held_out)
 
 
-QUERIES = {q.__name__: q for q in (op1_quality, op2_toxicity)}
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(load(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["layer"] == 0)
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def text(spans):
+        parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["first"], s["past"]))
+        return F.array_join(F.array_distinct(parts), ",")
+
+    return found.select(
+        "doc_id",
+        *map(count, secrets.KINDS),
+        F.sha2(text(base), 256).alias("base_sha256"),
+        text(F.col("spans")).alias("spans"),
+        "n_layers",
+    )
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_quality,
+        op2_toxicity,
+        op5_secrets,
+        op10_decontaminate,
+    )
+}

@@ -37,4 +37,35 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (failed & 3) != 0 AS base_failed, failed = 0 AS kept, n_lines, n_digits, failed FROM f
 """
 
-ORACLES = {"op1_quality": OP1}
+OP10 = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), items AS (
+    SELECT coalesce(item_id::VARCHAR, '') AS item,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), windows AS (
+    SELECT DISTINCT item, size, array_to_string(ws[i:i + size - 1], ' ') AS win
+    FROM (SELECT item, ws, least(len(ws), 10) AS size, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i
+          FROM items WHERE len(ws) > 0)
+), starts AS (
+    SELECT r, ws, size, unnest(range(1, len(ws) - size + 2)) AS i
+    FROM d, (SELECT DISTINCT size FROM windows)
+), hits AS (
+    SELECT r, i, s.size, item FROM starts s JOIN windows w
+    ON s.size = w.size AND array_to_string(ws[i:i + s.size - 1], ' ') = win
+), words AS (
+    SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS p FROM hits) GROUP BY r
+), named AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+    FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN named USING (r)
+"""
+
+ORACLES = {"op1_quality": OP1, "op10_decontaminate": OP10}
