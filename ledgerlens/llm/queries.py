@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, quality, secrets, toxicity
+from ledgerlens.llm import decontaminate, packing, quality, secrets, toxicity
 from ledgerlens.llm.common import load
 
 
@@ -53,6 +53,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(load(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
     return found.select(
@@ -71,6 +75,7 @@ QUERIES = {
         op1_quality,
         op2_toxicity,
         op5_secrets,
+        op8_packing,
         op10_decontaminate,
     )
 }
