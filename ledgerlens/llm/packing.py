@@ -222,17 +222,14 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIE
         turn += 1
         # Partitions that met their own bound could still share a part-filled sequence with
         # another one, so every sequence with a gap takes part.
-        gaps = packed.where(F.col("fill") < capacity)
-        closed = packed.where(F.col("fill") == capacity)
+        gaps, closed = packed.where(F.col("fill") < capacity), packed.where(F.col("fill") == capacity)
         parts = max(1, -(-gaps.count() // group_pieces))
-        again = _pack(gaps, parts, turn, capacity)
-        now = _used(closed) + _used(again)
-        if now >= used:
+        again, kept = _pack(gaps, parts, turn, capacity), _used(closed)
+        now = _used(again)
+        if kept + now >= used:
             break
         done.append(closed)
-        packed, used, bound = again, now, bound
-        bound -= _used(closed)
-        used -= _used(closed)
+        packed, used, bound = again, now, bound - kept
     done.append(packed)
     out = None
     for rows in done:

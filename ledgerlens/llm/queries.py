@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, packing, quality, secrets, toxicity
+from ledgerlens.llm import decontaminate, packing, pii, quality, secrets, toxicity
 from ledgerlens.llm.common import load
 
 
@@ -57,6 +57,13 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    changed = pii.with_pseudonyms(docs, pii.PRODUCTION_KEY, "text", "found")
+    replaced = F.filter("found", lambda p: p["value"] != p["pseudonym"])
+    return changed.select("doc_id", "text", F.size(replaced).cast("long").alias("n_replaced"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
     return found.select(
@@ -76,6 +83,7 @@ QUERIES = {
         op2_toxicity,
         op5_secrets,
         op8_packing,
+        op9_pii,
         op10_decontaminate,
     )
 }
