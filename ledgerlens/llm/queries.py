@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, packing, pii, quality, secrets, toxicity
+from ledgerlens.llm import decontaminate, packing, pii, quality, secrets, toxicity, warc
 from ledgerlens.llm.common import load
 
 
@@ -53,6 +53,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(load(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents"))
 
@@ -82,6 +86,7 @@ QUERIES = {
         op1_quality,
         op2_toxicity,
         op5_secrets,
+        op6_warc,
         op8_packing,
         op9_pii,
         op10_decontaminate,

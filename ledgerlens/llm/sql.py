@@ -37,6 +37,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (failed & 3) != 0 AS base_failed, failed = 0 AS kept, n_lines, n_digits, failed FROM f
 """
 
+OP6 = r"""
+WITH p AS (
+    SELECT page_id, coalesce(url, 'about:blank') AS url, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+           sha1(coalesce(html, '')) AS payload_digest FROM pages
+), m AS (
+    SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS top FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN top > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN top > page_id THEN top END AS refers_to, url FROM m
+"""
+
 OP10 = r"""
 WITH d AS (
     SELECT row_number() OVER () AS r, doc_id,
@@ -68,4 +80,4 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN words USING (r) LEFT JOIN named USING (r)
 """
 
-ORACLES = {"op1_quality": OP1, "op10_decontaminate": OP10}
+ORACLES = {"op1_quality": OP1, "op6_warc": OP6, "op10_decontaminate": OP10}
