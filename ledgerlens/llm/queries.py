@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, packing, pii, quality, secrets, toxicity, warc
+from ledgerlens.llm import decontaminate, jaccard, packing, pii, quality, secrets, toxicity, warc
 from ledgerlens.llm.common import load
 
 
@@ -33,6 +33,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, labels, held_out=held_out)
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(load(spark, sf_dir, "documents"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(load(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["layer"] == 0)
@@ -85,6 +89,7 @@ QUERIES = {
     for q in (
         op1_quality,
         op2_toxicity,
+        op3_jaccard,
         op5_secrets,
         op6_warc,
         op8_packing,
