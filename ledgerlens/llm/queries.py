@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, jaccard, packing, pii, quality, secrets, toxicity, warc
+from ledgerlens.llm import decontaminate, jaccard, packing, pii, quality, repeats, secrets, toxicity, warc
 from ledgerlens.llm.common import load
 
 
@@ -37,6 +37,12 @@ def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(load(spark, sf_dir, "documents"))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove(load(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(load(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["layer"] == 0)
@@ -90,6 +96,7 @@ QUERIES = {
         op1_quality,
         op2_toxicity,
         op3_jaccard,
+        op4_repeats,
         op5_secrets,
         op6_warc,
         op8_packing,
