@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, jaccard, packing, pii, quality, repeats, secrets, toxicity, warc
+from ledgerlens.llm import decontaminate, jaccard, lm, packing, pii, quality, repeats, secrets, toxicity, warc
 from ledgerlens.llm.common import load
 
 
@@ -67,6 +67,18 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(load(spark, sf_dir, "pages"))
 
 
+def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.score(load(spark, sf_dir, "documents"))
+    names = ["n_unseen", "n_order1", "n_order2", "n_order3"]
+    return scored.select(
+        "doc_id",
+        "n_words",
+        F.round("log_score", 6).alias("log_score"),
+        F.round("mean_log_score", 6).alias("mean_log_score"),
+        *(F.col("n_found")[i].alias(name) for i, name in enumerate(names)),
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents"))
 
@@ -99,6 +111,7 @@ QUERIES = {
         op4_repeats,
         op5_secrets,
         op6_warc,
+        op7_lm,
         op8_packing,
         op9_pii,
         op10_decontaminate,

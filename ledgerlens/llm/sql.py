@@ -49,6 +49,39 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN top > page_id THEN top END AS refers_to, url FROM m
 """
 
+OP7 = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), words AS (
+    SELECT r, len(ws) AS n, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM d
+), grams AS (
+    SELECT r, n, i, w, lag(w) OVER own || ' ' || w AS b, lag(w, 2) OVER own || ' ' || lag(w) OVER own || ' ' || w AS t
+    FROM words WINDOW own AS (PARTITION BY r ORDER BY i)
+), counts AS (
+    SELECT r, i, (SELECT count(*) FROM words) - n AS e0,
+           count(*) OVER (PARTITION BY w) - count(*) OVER (PARTITION BY r, w) AS e1,
+           CASE WHEN b IS NOT NULL THEN count(*) OVER (PARTITION BY b) - count(*) OVER (PARTITION BY r, b) ELSE 0 END AS e2,
+           CASE WHEN t IS NOT NULL THEN count(*) OVER (PARTITION BY t) - count(*) OVER (PARTITION BY r, t) ELSE 0 END AS e3
+    FROM grams
+), contexts AS (
+    SELECT *, lag(e1) OVER own AS c1, lag(e2) OVER own AS c2, least(3, i) AS most
+    FROM counts WINDOW own AS (PARTITION BY r ORDER BY i)
+), scores AS (
+    SELECT r, CASE WHEN e3 > 0 THEN 3 WHEN e2 > 0 THEN 2 WHEN e1 > 0 THEN 1 ELSE 0 END AS k,
+           CASE WHEN e3 > 0 THEN ln(e3 / c2) WHEN e2 > 0 THEN ln(e2 / c1) + (most - 2) * ln(0.4)
+                WHEN e1 > 0 THEN ln(e1 / e0) + (most - 1) * ln(0.4)
+                ELSE most * ln(0.4) - ln(greatest(e0, 1)) END AS s FROM contexts
+), sums AS (
+    SELECT r, fsum(s) AS s, count(*) FILTER (k = 0) AS n0, count(*) FILTER (k = 1) AS n1,
+           count(*) FILTER (k = 2) AS n2, count(*) FILTER (k = 3) AS n3 FROM scores GROUP BY r
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, round(coalesce(s, 0), 6) AS log_score,
+       round(s / nullif(len(ws), 0), 6) AS mean_log_score, coalesce(n0, 0) AS n_unseen,
+       coalesce(n1, 0) AS n_order1, coalesce(n2, 0) AS n_order2, coalesce(n3, 0) AS n_order3
+FROM d LEFT JOIN sums USING (r)
+"""
+
 OP10 = r"""
 WITH d AS (
     SELECT row_number() OVER () AS r, doc_id,
@@ -80,4 +113,4 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN words USING (r) LEFT JOIN named USING (r)
 """
 
-ORACLES = {"op1_quality": OP1, "op6_warc": OP6, "op10_decontaminate": OP10}
+ORACLES = {"op1_quality": OP1, "op6_warc": OP6, "op7_lm": OP7, "op10_decontaminate": OP10}
