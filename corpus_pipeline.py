@@ -1,20 +1,52 @@
-"""The corpus pipeline: documents in, packed training sequences out."""
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Each stage takes the documents that its predecessor left, written as Parquet and read back.
+All but the last return the columns of documents. What a stage does with nulls, empty
+texts, repeated rows, empty tables and further columns is stated by its operator.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import quality
+from ledgerlens.llm import decontaminate, jaccard, packing, pii, quality
 from ledgerlens.llm.common import load, saved
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the production policy."""
     return quality.keep_good(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group connected by similar texts."""
+    return jaccard.keep_one(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages cut out; documents that are mostly benchmark go."""
+    return decontaminate.remove(docs, load(spark, sf_dir, "benchmark"))
+
+
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal values replaced by keyed pseudonyms."""
+    return pii.pseudonymize(docs, pii.PRODUCTION_KEY)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per piece of a document with its place in a training sequence."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("pseudonyms", pseudonyms),
+    ("best_fit_packing", best_fit_packing),
+]
 
-#: Tokenizer and packing stages have no SQL form.
+#: SQL has no tokenizer and no keyed permutation; tests hold the rows against brute force.
 ORACLE_SQL = None
 
 
