@@ -260,7 +260,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, limits: Limits = Limits(), win
     def cut(texts: pd.Series, runs: pd.Series) -> pd.Series:
         return pd.Series([t if t is None or not len(r) else _cut(t, r) for t, r in zip(texts, runs, strict=True)])
 
-    cutter = F.pandas_udf(cut, "string", F.PandasUDFType.SCALAR)
+    cutter = F.pandas_udf(cut, "string")
     found = with_hits(docs, benchmark, "text", name, window)
     runs, n_words = F.col(f"{name}.runs"), F.col(f"{name}.n_words")
     found = found.where(hit_words(runs) <= limits.max_share * n_words)

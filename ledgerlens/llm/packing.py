@@ -3,9 +3,10 @@
 Documents become token ids with an end id; longer ones are cut into pieces of one sequence.
 Pieces are dealt over partitions of bounded size and packed there best fit, longest first.
 Dual-feasible functions bound from below how many sequences any packing of the same lengths
-needs. A packing that meets its bound is certified. While the whole is above the bound, the
-pieces of sequences that are not full are exchanged: dealt anew and packed again, as long
-as that saves sequences.
+needs. A packing that meets its bound is certified. A partition above its bound repairs its
+emptiest sequences. While the whole is above its bound, partitions exchange the documents of
+their emptiest sequences: these are dealt anew over fewer partitions and packed again, as
+long as that saves sequences.
 
 Defined cases: a null or empty text is one piece, the end id alone; repeated rows are
 separate documents; a null ``doc_id`` is passed on; an empty table gives no pieces.
@@ -27,7 +28,7 @@ from ledgerlens.llm.common import saved
 CAPACITY = 2048
 #: Most pieces, on average, that one packing task holds: lengths and keys only.
 GROUP_PIECES = 250_000
-MAX_EXCHANGES = 4
+MAX_EXCHANGES = 8
 #: Chunks of text whose ids a task remembers before it starts anew.
 REMEMBERED = 400_000
 
@@ -151,6 +152,75 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets, n
 
 
+#: Tries to empty a sequence after a packing above its bound, and sequences in each.
+REPAIRS, REPAIR_BINS = 400, (4, 24)
+
+
+def _fill(sizes: list[int], room: int) -> list[int]:
+    """Places of sizes that together fill a room as far as any of them can."""
+    reach, steps = 1, [1]
+    keep = (1 << (room + 1)) - 1
+    for size in sizes:
+        reach |= (reach << size) & keep
+        steps.append(reach)
+        if reach >> room:
+            break
+    at, chosen = reach.bit_length() - 1, []
+    for i in range(len(steps) - 1, 0, -1):
+        if not steps[i - 1] >> at & 1:
+            chosen.append(i - 1)
+            at -= sizes[i - 1]
+    return chosen
+
+
+def repair(lengths: np.ndarray, bins: np.ndarray, n: int, bound: int, capacity: int) -> tuple[np.ndarray, int]:
+    """Fewer bins where best fit missed the bound: the emptiest bin and a few others are
+    packed anew, each time the longest item with whatever fills its bin best."""
+    rng = np.random.default_rng(n)
+    members: dict[int, list[int]] = {}
+    for i, b in enumerate(bins.tolist()):
+        members.setdefault(b, []).append(i)
+    size = lengths.tolist()
+    fill = {b: sum(size[i] for i in own) for b, own in members.items()}
+    open_bins = [b for b in members if fill[b] < capacity or len(members[b]) > 1]
+    for _ in range(REPAIRS):
+        if len(members) <= bound or len(open_bins) < 2:
+            break
+        few = min(len(open_bins), int(rng.integers(REPAIR_BINS[0], REPAIR_BINS[1] + 1)))
+        chosen = {min(members, key=fill.get), *(open_bins[i] for i in rng.choice(len(open_bins), few, replace=False))}
+        chosen &= set(members)
+        items = sorted((i for b in chosen for i in members[b]), key=lambda i: -size[i])
+        packed = []
+        while items and len(packed) < len(chosen):
+            rest = items[1:]
+            taken = set(_fill([size[i] for i in rest], capacity - size[items[0]]))
+            packed.append([items[0], *(i for k, i in enumerate(rest) if k in taken)])
+            items = [i for k, i in enumerate(rest) if k not in taken]
+        if not items and len(packed) <= len(chosen):
+            names = sorted(chosen)
+            for b in names:
+                del members[b], fill[b]
+            for b, own in zip(names, packed, strict=False):
+                members[b], fill[b] = own, sum(size[i] for i in own)
+            open_bins = [b for b in open_bins if b in members]
+    for number, own in enumerate(members.values()):
+        bins[own] = number
+    return bins, len(members)
+
+
+def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Bins, offsets, number of bins and the bound, after best fit and repairs."""
+    bins, offsets, n = best_fit(lengths, capacity)
+    bound = lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
+    if n > bound:
+        bins, n = repair(lengths, bins, n, bound, capacity)
+        order = np.argsort(bins, kind="stable")
+        sums = np.cumsum(lengths[order]) - lengths[order]
+        first = np.concatenate([[True], np.diff(bins[order]) > 0])
+        offsets[order] = sums - np.repeat(sums[first], np.bincount(bins))
+    return bins, offsets, n, bound
+
+
 def lower_bound(counts: np.ndarray, capacity: int) -> int:
     """No packing of ``counts[x]`` items of length x uses fewer bins.
 
@@ -175,20 +245,25 @@ def lower_bound(counts: np.ndarray, capacity: int) -> int:
     return best
 
 
-PLACED = "part long, bin long, offset long, fill long"
+#: Of a partition's pieces, those in its emptiest sequences that it offers for exchange.
+OFFERED = 1 / 8
+PLACED = "part long, bin long, offset long, offered boolean"
 
 
 def _pack(rows: DataFrame, parts: int, turn: int, capacity: int) -> DataFrame:
     """Deal the pieces over ``parts`` groups by a hash and pack each group by itself."""
-    columns = [c for c in rows.columns if c not in ("part", "bin", "offset", "fill", "turn")]
+    columns = [c for c in rows.columns if c not in ("part", "bin", "offset", "offered", "turn")]
     schema = ", ".join(f"{n} {t}" for n, t in rows.select(*columns).dtypes) + ", " + PLACED
 
     def one(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["key", "piece"], kind="stable")
         lengths = frame["length"].to_numpy(np.int64)
-        bins, offsets, n = best_fit(lengths, capacity)
-        fill = np.bincount(bins, lengths, n).astype(np.int64)
-        return frame.assign(bin=bins, offset=offsets, fill=fill[bins])
+        bins, offsets, n, _ = place(lengths, capacity)
+        emptiest = np.argsort(np.bincount(bins, lengths, n), kind="stable")
+        held = np.cumsum(np.bincount(bins, minlength=n)[emptiest])
+        offered = np.zeros(n, bool)
+        offered[emptiest[: max(2, int(np.searchsorted(held, OFFERED * len(bins))))]] = True
+        return frame.assign(bin=bins, offset=offsets, offered=offered[bins])
 
     dealt = rows.select(*columns, F.pmod(F.xxhash64("key", "piece", F.lit(turn)), F.lit(parts)).alias("part"))
     packed = dealt.groupBy("part").applyInPandas(one, schema)
@@ -221,10 +296,10 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIE
     while used > bound and parts > 1 and turn < MAX_EXCHANGES:
         turn += 1
         # Partitions that met their own bound could still share a part-filled sequence with
-        # another one, so every sequence with a gap takes part.
-        gaps, closed = packed.where(F.col("fill") < capacity), packed.where(F.col("fill") == capacity)
-        parts = max(1, -(-gaps.count() // group_pieces))
-        again, kept = _pack(gaps, parts, turn, capacity), _used(closed)
+        # another one, so every partition offers its emptiest ones.
+        offered, closed = packed.where("offered"), packed.where("not offered")
+        parts = max(1, -(-offered.count() // group_pieces))
+        again, kept = _pack(offered, parts, turn, capacity), _used(closed)
         now = _used(again)
         if kept + now >= used:
             break
