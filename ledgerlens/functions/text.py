@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from itertools import chain
 
@@ -16,27 +17,43 @@ WHITESPACE = (
 )
 
 
-def _latin_fold_table() -> tuple[str, str]:
-    """Arguments of ``translate``: every Latin, space or full-width character whose
-    compatibility decomposition leaves one base character, and that character."""
-    blocks = chain(
-        range(0x00A0, 0x0250),  # Latin-1, Latin Extended A and B
-        range(0x1E00, 0x1F00),  # Latin Extended Additional
-        range(0x2000, 0x2070),  # spaces and punctuation
-        range(0x3000, 0x3001),  # ideographic space
-        range(0xFF01, 0xFF5F),  # full-width ASCII
-    )
-    pairs = []
-    for char in map(chr, blocks):
-        parts = [c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)]
-        if len(parts) == 1 and parts[0] != char:
-            pairs.append((char, parts[0]))
+def fold_plain(text: str) -> str:
+    """Compatibility decomposition without marks, on the driver."""
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if unicodedata.category(c) != "Mn")
+
+
+# Precomposed Hangul: composed by a rule of its own and never compared decomposed here.
+_HANGUL = range(0xAC00, 0xD7A4)
+
+
+def _fold_tables() -> tuple[str, str, dict[str, str]]:
+    """Arguments of ``translate`` for characters that fold to one or none, and a table of
+    those that fold to several, ligatures and fractions for example."""
+    single, several, marks = [], {}, []
+    for code in chain(range(0x80, 0xD800), range(0xF900, 0x10000)):
+        char = chr(code)
+        plain = fold_plain(char)
+        if code in _HANGUL or plain == char:
+            continue
+        if not plain:
+            marks.append(char)
+        elif len(plain) == 1:
+            single.append((char, plain))
+        else:
+            several[char] = plain
     # Characters without a counterpart are deleted: the combining marks themselves.
-    marks = "".join(c for c in map(chr, range(0x0300, 0x10000)) if unicodedata.combining(c))
-    return "".join(p[0] for p in pairs) + marks, "".join(p[1] for p in pairs)
+    return "".join(c for c, _ in single) + "".join(marks), "".join(p for _, p in single), several
+
 
+_ACCENTED, _PLAIN, _SEVERAL = _fold_tables()
+_HAS_SEVERAL = "[" + "".join(_SEVERAL) + "]"
 
-_ACCENTED, _PLAIN = _latin_fold_table()
+
+def _expanded(text: Column) -> Column:
+    # One literal: a map of as many columns would make every plan long.
+    table = F.from_json(F.lit(json.dumps(_SEVERAL)), "map<string,string>")
+    chars = F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c))
+    return F.when(F.rlike(text, F.lit(_HAS_SEVERAL)), F.array_join(chars, "")).otherwise(text)
 
 
 def fold_text(text: Column) -> Column:
@@ -45,7 +62,7 @@ def fold_text(text: Column) -> Column:
     Plain ASCII values, the usual case, skip the character table: they are the
     ones whose byte and character counts agree.
     """
-    bare = F.translate(text, _ACCENTED, _PLAIN)
+    bare = _expanded(F.translate(text, _ACCENTED, _PLAIN))
     folded = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.lower(bare))
     return F.coalesce(folded, F.lit(""))
 
@@ -62,12 +79,27 @@ def es_amount(text: Column) -> Column:
 
 
 def dayfirst_ts(text: Column) -> Column:
-    """``dd/MM/yyyy[ HH:mm:ss]`` or an ISO time to a timestamp without zone, else NULL."""
+    """``dd/MM/yyyy[ HH:mm:ss]``, also with two digits of the year or a 12-hour time, or
+    an ISO time, to a timestamp without zone; else NULL.
+
+    Years of two digits from 69 on are of the last century.
+    """
     value = strip_text(text)
-    iso = F.regexp_replace(value, r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})", "$3-$2-$1")
-    return F.when(
-        iso.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d|$)"), iso.try_cast("timestamp_ntz")
+    half = F.lower(F.regexp_extract(value, r"(?i)\d\s*([ap])\.?\s?m\.?$", 1))
+    value = F.when(half != "", F.regexp_replace(value, r"(?i)\s*[ap]\.?\s?m\.?$", "")).otherwise(value)
+    short = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d\d)(?!\d)"
+    century = F.when(F.regexp_extract(value, short, 3) >= "69", F.lit("19")).otherwise(F.lit("20"))
+    long = F.concat(
+        F.regexp_extract(value, short, 1), F.lit("/"), F.regexp_extract(value, short, 2), F.lit("/"), century,
+        F.regexp_extract(value, short, 3), F.regexp_replace(value, short, ""),
     )
+    value = F.when(value.rlike(short), long).otherwise(value)
+    iso = F.regexp_replace(value, r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})", "$3-$2-$1")
+    time = F.when(iso.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d|$)"), iso.try_cast("timestamp_ntz"))
+    hour = F.hour(time)
+    shift = F.when((half == "p") & (hour < 12), 12).when((half == "a") & (hour == 12), -12).otherwise(0)
+    moved = F.when(hour.between(1, 12), time + F.make_dt_interval(F.lit(0), shift))
+    return F.when(half == "", time).otherwise(moved)
 
 
 def doc_key(text: Column) -> Column:
@@ -77,8 +109,19 @@ def doc_key(text: Column) -> Column:
 
 
 def numeric_id(text: Column) -> Column:
-    """Whole-number reading of a numeric text such as ``123`` or ``123.0``."""
-    return strip_text(text.cast("string")).try_cast("decimal(38,6)").try_cast("bigint")
+    """Whole number in a text such as ``123``, ``123.0`` or ``12.345.678``; a number that
+    is not whole is no id."""
+    value = strip_text(text.cast("string"))
+    value = F.when(value.rlike(r"^\d{1,3}(\.\d{3}){2,}$"), F.replace(value, F.lit("."), F.lit(""))).otherwise(value)
+    number = value.try_cast("decimal(38,6)")
+    return F.when(number == F.floor(number), number.try_cast("bigint"))
+
+
+def text_id(text: Column) -> Column:
+    """An id as text: whole numbers without zeros around them, all else as it stands;
+    blank is NULL."""
+    value = strip_text(text.cast("string"))
+    return F.when(F.length(value) > 0, F.coalesce(numeric_id(value).cast("string"), value))
 
 
 def money_text(amount: Column) -> Column:

@@ -47,8 +47,10 @@ def bonus_detail(
     other users out of the shuffles; worth giving when it is small enough to
     broadcast. Needs the classified ledger.
     """
+    # A bonus is a movement with an amount, here as in bonus_daily.
     rows = (
-        with_keys(facts.where("is_bet or is_bonus or is_load"), "doc_id", "ts")
+        with_keys(facts.withColumn("is_bonus", F.col("is_bonus") & (F.col("n") > 0)), "doc_id", "ts")
+        .where("is_bet or is_bonus or is_load")
         .withColumn("bucket", time_bucket(F.col("ts"), bucket_hours))
         .withColumn("stake", F.coalesce(F.greatest("cents", F.lit(0)), F.lit(0)))
     )
@@ -231,19 +233,18 @@ def bonus_daily(facts: DataFrame) -> DataFrame:
     )
 
 
-def bonus_kpis(detail: DataFrame) -> DataFrame:
-    """Bonuses per day with how many were played, exhausted and followed by a load."""
+def bonus_kpis(daily: DataFrame, detail: DataFrame) -> DataFrame:
+    """The bonuses of :func:`bonus_daily` with how many were played, exhausted and followed
+    by a load. Bonuses without a user count as granted and reach no stage."""
+    stages = detail.groupBy(F.to_date("Fecha_Bono").alias("Fecha_Dia")).agg(
+        F.count_if("Hizo_Jugada_PostBono").alias("Jugaron_PostBono"),
+        F.count_if(F.col("Fecha_Agote_Bono").isNotNull()).alias("Agotaron_Bono"),
+        F.count_if("Recargo_despues_Agote").alias("Recargaron_Luego"),
+    )
+    reached = [F.coalesce(c, F.lit(0)).alias(c) for c in stages.columns[1:]]
     return (
-        detail.groupBy(F.to_date("Fecha_Bono").alias("Fecha_Dia"))
-        .agg(
-            F.count("*").alias("Bonos_Otorgados"),
-            F.sum(F.col("Monto_Bono").cast("decimal(18,2)")).cast("double").alias("Monto_Bonos"),
-            F.count_if("Hizo_Jugada_PostBono").alias("Jugaron_PostBono"),
-            F.count_if(F.col("Fecha_Agote_Bono").isNotNull()).alias("Agotaron_Bono"),
-            F.count_if("Recargo_despues_Agote").alias("Recargaron_Luego"),
-            F.count_if(F.col("Tipo_Bono") == SIGNUP).alias("Registro_Cant"),
-            F.count_if(F.col("Tipo_Bono") == DEPOSIT).alias("Deposito_Cant"),
-        )
+        daily.join(stages, "Fecha_Dia", "left")
+        .select("Fecha_Dia", "Bonos_Otorgados", "Monto_Bonos", *reached, "Registro_Cant", "Deposito_Cant")
         .orderBy("Fecha_Dia")
     )
 

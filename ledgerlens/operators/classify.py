@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import movement as M
 from ledgerlens.functions.rules import Rules
 from ledgerlens.functions.text import fold_text
+from ledgerlens.operators.common import exact
 
 KINDS = ("is_bet", "is_load", "is_withdrawal", "is_prize", "is_bonus")
 
@@ -72,7 +73,7 @@ def daily_rollup(facts: DataFrame) -> DataFrame:
         facts.groupBy(*keys)
         .agg(
             F.sum("n").alias("n"),
-            F.sum("cents").alias("cents"),
+            F.sum(exact("cents")).alias("cents"),
             F.min("first_ts").alias("first_ts"),
             F.max("last_ts").alias("last_ts"),
         )

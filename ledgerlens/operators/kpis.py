@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.rules import MODO, RETAIL
-from ledgerlens.operators.common import counted, exact, labelled, to_money, where_sum, with_keys
+from ledgerlens.operators.common import cents_sum, counted, exact, labelled, to_money, with_keys
 
 
 def kpi_summary(facts: DataFrame) -> DataFrame:
@@ -20,11 +20,11 @@ def kpi_summary(facts: DataFrame) -> DataFrame:
         F.bool_or("is_bet").alias("bet"),
         F.bool_or("is_load").alias("load"),
         counted(load).alias("n"),
-        where_sum("cents", load).alias("amount"),
+        cents_sum(load).alias("amount"),
         counted(load & (channel == MODO)).alias("modo_n"),
         counted(load & (channel == RETAIL)).alias("retail_n"),
-        where_sum("cents", load & (channel == MODO)).alias("modo_amount"),
-        where_sum("cents", load & (channel == RETAIL)).alias("retail_amount"),
+        cents_sum(load & (channel == MODO)).alias("modo_amount"),
+        cents_sum(load & (channel == RETAIL)).alias("retail_amount"),
     )
     known = F.col("doc_id").isNotNull()
     total = per_user.agg(

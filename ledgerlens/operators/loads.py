@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime, time
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.movement import wall_time
 from ledgerlens.functions.rules import MODO, RETAIL, Rules
 from ledgerlens.operators.common import (
+    cents_sum,
     counted,
     distinct_users,
     exact,
@@ -15,7 +18,6 @@ from ledgerlens.operators.common import (
     labelled,
     money,
     to_money,
-    where_sum,
     with_keys,
 )
 
@@ -152,8 +154,12 @@ def period_kpis(
     Day series are cut by day. Bettors are cut by time, so a bare end date leaves
     out the bets later on that day unless ``inclusive_end`` is set. With ``users``
     only registered bettors count. Loads of both channels stand in for the number
-    of users who loaded, as no finer source is kept.
+    of users who loaded, as no finer source is kept. Bounds inside a day need the
+    classified ledger: the roll-up does not hold single times.
     """
+    inside = [b for b in (start, *(() if inclusive_end else (end,))) if isinstance(b, datetime) and b.time() != time()]
+    if inside and "ts" not in facts.columns:
+        raise ValueError(f"a roll-up by day cannot be cut at {inside[0]}")
     day, start_day, end_day = F.col("day"), F.to_date(wall_time(start)), F.to_date(wall_time(end))
     in_days = (day >= start_day) & (day <= end_day)
     until = F.to_date(F.col("first_ts")) <= end_day if inclusive_end else (
@@ -172,9 +178,9 @@ def period_kpis(
     per_user = seen.groupBy("doc_id").agg(
         counted(modo).alias("modo_n"),
         counted(retail).alias("retail_n"),
-        where_sum("cents", modo).alias("modo_amount"),
-        where_sum("cents", retail).alias("retail_amount"),
-        where_sum("cents", F.col("is_bet") & in_days).alias("revenue"),
+        cents_sum(modo).alias("modo_amount"),
+        cents_sum(retail).alias("retail_amount"),
+        cents_sum(F.col("is_bet") & in_days).alias("revenue"),
         F.coalesce(F.bool_or(F.col("is_bet") & in_time), F.lit(False)).alias("bet"),
     )
     if users is not None:

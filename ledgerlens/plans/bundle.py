@@ -12,6 +12,7 @@ from ledgerlens.functions.rules import Rules
 from ledgerlens.operators import bets, bonus, kpis, loads, users
 from ledgerlens.operators.classify import classify, daily_rollup
 from ledgerlens.operators.common import with_keys
+from ledgerlens.sources.registry import Readings
 from ledgerlens.sources.tables import write_table
 
 TABLES_AT_ONCE = 8
@@ -31,16 +32,21 @@ SMALL = {
 def build_reports(
     facts: DataFrame,
     rollup: DataFrame,
-    people: DataFrame | None = None,
+    people: DataFrame | Readings | None = None,
     rules: Rules = Rules(),
     bonuses: DataFrame | None = None,
+    stored=lambda df, name: df,
 ) -> dict[str, DataFrame]:
     """Output name -> table. ``facts`` is the classified ledger, ``rollup`` its daily
     roll-up; reports that need no single movement read the smaller roll-up.
-    ``bonuses`` is the bonus detail if it is already stored."""
+    ``bonuses`` is the bonus detail if it is already stored. ``people``: the readings of
+    the registry, or one frame that serves as all of them. ``stored`` may write what
+    several tables share."""
+    if isinstance(people, DataFrame):
+        people = Readings(people, people, people)
     start: datetime = rules.channel_start
     by_day = rollup if start.time() == time() else facts
-    detail = bonus.bonus_detail(facts, people) if bonuses is None else bonuses
+    detail = bonus.bonus_detail(facts, people and people.last) if bonuses is None else bonuses
     summary = kpis.kpi_summary(rollup)
     tables = {
         "recargas_monto": loads.loads_daily_amount_pivot(rollup, rules),
@@ -65,26 +71,26 @@ def build_reports(
         "usuarios_mes": users.monthly_growth(rollup),
         "usuarios_hitos": users.milestone_counts(rollup, rules),
         "bonos_diario": bonus.bonus_daily(rollup),
-        "kpis_bonificaciones": bonus.bonus_kpis(detail),
+        "kpis_bonificaciones": bonus.bonus_kpis(bonus.bonus_daily(rollup), detail),
         "bonos_resumen": detail.drop("Nro_Transaccion"),
         **detail_feeds(facts),
     }
-    players = bets.game_player_summary(rollup, rules)
+    players = stored(bets.game_player_summary(rollup, rules), "players")
     for name, _ in rules.game_patterns:
         tables[name.lower()] = players.where(F.col("Juego") == name).drop("Juego")
     if people is not None:
-        summary = summary.unionByName(kpis.activity_kpis(rollup, people))
-        best = users.game_top_users(rollup, people, rules)
+        summary = summary.unionByName(kpis.activity_kpis(rollup, people.first))
+        best = stored(users.game_top_users(rollup, people.first, rules), "top_players")
         for name, _ in rules.game_patterns:
             tables[f"top10_{name.lower()}"] = best.where(F.col("Juego") == name).drop("Juego")
         tables |= {
-            "retencion_cohorts": users.cohort_retention(rollup, people),
-            "reactivados_modo": users.reactivated_users(rollup, people, rules),
-            "nuevos_modo": users.new_users_since(people, rules),
-            "total_usuarios_nuevos_modo": users.new_users_total(people, rules),
-            "top10_contactos": users.contact_top(rollup, people),
-            "apuestas_con_usuarios": bets.enriched_bets(facts, people),
-            "usuarios_inactivos": users.inactive_users(rollup, people),
+            "retencion_cohorts": users.cohort_retention(rollup, people.last),
+            "reactivados_modo": users.reactivated_users(rollup, people.signups, rules),
+            "nuevos_modo": users.new_users_since(people.signups, rules),
+            "total_usuarios_nuevos_modo": users.new_users_total(people.signups, rules),
+            "top10_contactos": users.contact_top(rollup, people.last),
+            "apuestas_con_usuarios": bets.enriched_bets(facts, people.last),
+            "usuarios_inactivos": users.inactive_users(rollup, people.last),
         }
     tables["kpis"] = summary
     return tables
@@ -114,28 +120,29 @@ def write_reports(
     spark: SparkSession,
     ledger: DataFrame,
     target: str,
-    people: DataFrame | None = None,
+    people: DataFrame | Readings | None = None,
     rules: Rules = Rules(),
     fmt: str = "csv",
 ) -> list[str]:
     """Write every table under ``target`` and return their names.
 
-    The daily roll-up is written first: one pass over the ledger feeds all tables
-    that need no single movement. So is the bonus detail, which two tables share.
+    The ledger is read and classified once; the result, the daily roll-up over it, the
+    bonus detail and the per-game tables are written first and feed all others.
     """
-    facts = classify(ledger, rules)
-
     def stored(df: DataFrame, name: str) -> DataFrame:
         path = f"{target}/_work/{name}"
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
+    if isinstance(people, DataFrame):
+        people = Readings(people, people, people)
+    facts = stored(classify(ledger, rules), "classified")
     rollup = stored(daily_rollup(facts), "daily_rollup")
     receivers = with_keys(rollup.where("is_bonus"), "doc_id").select("doc_id").distinct()
     few = receivers.limit(BROADCAST_USERS + 1).count() <= BROADCAST_USERS
-    detail = bonus.bonus_detail(facts, people, F.broadcast(receivers) if few else None)
+    detail = bonus.bonus_detail(facts, people and people.last, F.broadcast(receivers) if few else None)
     bonuses = stored(detail, "bonus_detail")
-    tables = build_reports(facts, rollup, people, rules, bonuses)
+    tables = build_reports(facts, rollup, people, rules, bonuses, stored)
 
     def write(item: tuple[str, DataFrame]) -> None:
         name, table = item

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,20 +14,16 @@ from ledgerlens.sources.manifest import list_files, load_manifest, pending_files
 from ledgerlens.sources.reports import read_reports, unique_movements
 
 _PREAMBLE = ["Reporte de movimientos", "", ";".join(REPORT_COLUMNS)]
+LINES_PER_FILE = 10_000
 
 
-def _with_header(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    yield pd.DataFrame({"value": _PREAMBLE})
-    yield from batches
-
-
-def report_text(ledger: DataFrame) -> DataFrame:
+def report_text(ledger: DataFrame, tx_id: str = "CAST(tx_id AS STRING)") -> DataFrame:
     """Report lines of a ledger with es-AR amounts and day-first times."""
     amount = F.translate(F.format_number("amount", 2), ",.", ".,")
     return ledger.select(
         F.concat_ws(
             ";",
-            F.col("tx_id").cast("string"),
+            F.coalesce(F.expr(tx_id), F.lit("")),
             F.date_format("ts", "dd/MM/yyyy HH:mm:ss"),
             "movement_type",
             F.col("doc_id").cast("string"),
@@ -40,16 +33,19 @@ def report_text(ledger: DataFrame) -> DataFrame:
     )
 
 
-def write_report_files(ledger: DataFrame, target: str) -> None:
-    """Add one report file per task, each with its own free lines and header row."""
-    tasks = ledger.sparkSession.sparkContext.defaultParallelism
-    lines = report_text(ledger).repartition(tasks).mapInPandas(_with_header, "value string")
-    lines.write.mode("append").text(target)
+def write_report_files(lines: DataFrame, target: str) -> None:
+    """Add report files of some ten thousand lines, each with free lines and a header row."""
+    files = 1 + lines.count() // LINES_PER_FILE
+    whole = lines.groupBy(F.pmod(F.xxhash64("value"), F.lit(files)).alias("file")).agg(
+        F.collect_list("value").alias("lines")
+    )
+    text = F.array_join(F.concat(F.array(*map(F.lit, _PREAMBLE)), "lines"), "\n")
+    whole.select(text.alias("value")).write.mode("append").option("maxRecordsPerFile", 1).text(target)
 
 
 def _reports(spark: SparkSession, sf_dir: str) -> str:
     target = scratch_dir(spark, "reports")
-    write_report_files(A.event_ledger(spark, sf_dir), target)
+    write_report_files(report_text(A.event_ledger(spark, sf_dir)), target)
     return target
 
 
@@ -64,11 +60,23 @@ def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = _reports(spark, sf_dir)
     store = LedgerStore(spark, scratch_dir(spark, "ledger"))
     store.ingest(reports, glob="*.txt")
-    write_report_files(A.event_ledger(spark, sf_dir), reports)
+    write_report_files(report_text(A.event_ledger(spark, sf_dir)), reports)
     store.ingest(reports, glob="*.txt")
     return store.read().withColumn("amount", F.col("amount").cast("double"))
 
 
+def ingest_text_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger whose ids are numbers, text or missing, read twice: no row is lost."""
+    reports = scratch_dir(spark, "reports")
+    ids = "CASE tx_id % 3 WHEN 0 THEN CAST(tx_id AS STRING) WHEN 1 THEN concat('TX-', tx_id) END"
+    write_report_files(report_text(A.event_ledger(spark, sf_dir), ids), reports)
+    store = LedgerStore(spark, scratch_dir(spark, "ledger"))
+    for _ in range(2):
+        store.upsert(unique_movements(read_reports(spark, reports, glob="*.txt")))
+    key = F.when(~F.startswith("tx_key", F.lit("~")), F.col("tx_key")).alias("tx_key")
+    return store.read().select(key, "tx_id", "ts", "doc_id", F.col("amount").cast("double").alias("amount"))
+
+
 def _movements_in(spark: SparkSession, reports: str, files: DataFrame) -> DataFrame:
     rows = read_reports(spark, reports, glob="*.txt")
     return rows.join(files.select("file_name"), "file_name", "left_semi")
@@ -127,6 +135,7 @@ def report_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "ingest_reports": ingest_reports,
     "ingest_ledger": ingest_ledger,
+    "ingest_text_ids": ingest_text_ids,
     "pending_files": pending,
     "manifest_upsert": manifest_upsert,
     "report_bundle": report_bundle,
@@ -136,11 +145,14 @@ QUERIES = {
 def oracles() -> dict[str, str]:
     from ledgerlens.plans.oracles import E, R
 
-    row = """SELECT tx_id, date_trunc('second', ts) AS ts, movement_type, doc_id, description,
+    row = """SELECT CAST(tx_id AS VARCHAR) AS tx_key, tx_id, date_trunc('second', ts) AS ts, movement_type, doc_id, description,
       CAST(amount AS DOUBLE) AS amount"""
     return {
         "ingest_reports": E + row + " FROM cls",
         "ingest_ledger": E + row + ", month FROM cls",
+        "ingest_text_ids": E + """SELECT CASE tx_id % 3 WHEN 0 THEN CAST(tx_id AS VARCHAR)
+          WHEN 1 THEN 'TX-' || tx_id END AS tx_key, CASE WHEN tx_id % 3 = 0 THEN tx_id END AS tx_id,
+          date_trunc('second', ts) AS ts, doc_id, CAST(amount AS DOUBLE) AS amount FROM cls""",
         "pending_files": "SELECT 'first' AS stage, count(*) AS movements FROM events UNION ALL SELECT 'second', 0",
         "manifest_upsert": "SELECT true AS is_current, count(*) AS movements FROM events",
         "report_bundle": R + """SELECT month AS "AñoMes", CAST(sum(amount) AS DOUBLE) AS "Recaudacion",

@@ -112,7 +112,7 @@ _BONUS = """,
 bonuses AS (
   SELECT tx_id, doc_id, ts, day, amount,
     CASE WHEN regexp_matches(t || ' ' || d, 'registro|alta|bienvenida') THEN 'Registro' ELSE 'Depósito' END AS kind
-  FROM cls WHERE is_bonus),
+  FROM cls WHERE is_bonus AND amount IS NOT NULL),
 later AS (
   SELECT b.tx_id, b.amount, x.ts,
     sum(x.amount) OVER (PARTITION BY b.tx_id ORDER BY x.ts, x.tx_id ROWS UNBOUNDED PRECEDING) AS staked

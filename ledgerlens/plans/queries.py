@@ -82,7 +82,8 @@ def _bonus_detail(spark, sf):
 
 
 def _bonus_kpis(spark, sf):
-    return bonus.bonus_kpis(bonus.bonus_detail(events(spark, sf)))
+    facts = events(spark, sf)
+    return bonus.bonus_kpis(bonus.bonus_daily(facts), bonus.bonus_detail(facts))
 
 
 def _activity(spark, sf):

@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-import unicodedata
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.functions.text import dayfirst_ts, doc_key, numeric_id
+from ledgerlens.functions.text import dayfirst_ts, doc_key, fold_plain, numeric_id
 from ledgerlens.operators.dedup import keep_one
 
 
-def _fold(name: str) -> str:
-    parts = unicodedata.normalize("NFKD", name)
-    return "".join(c for c in parts if unicodedata.category(c) != "Mn").lower()
-
-
 def _clean(name: str) -> str:
     return name.strip().replace(" ", "_")
 
@@ -27,7 +22,7 @@ def _find(columns: list[str], exact: tuple[str, ...], parts: tuple[tuple[str, ..
         if name in columns:
             return name
     for column in columns:
-        folded = _fold(column)
+        folded = fold_plain(column).lower()
         if any(all(p in folded for p in group) for group in parts):
             return column
     return None
@@ -76,15 +71,44 @@ def resolve_users(
     return users.drop(*order)
 
 
-def read_users(
-    spark: SparkSession, path: str, sep: str = ",", keep: str | None = "last", lenient_ids: bool = False
-) -> DataFrame:
-    """Registry from delimited text with a header, in file order."""
+@dataclass(frozen=True)
+class Readings:
+    """The three readings of a registry that reports use."""
+
+    last: DataFrame  # strict ids, the last row of each
+    first: DataFrame  # strict ids, the first row of each
+    signups: DataFrame  # ids by their first digit run, every row
+
+
+def registry_readings(raw: DataFrame, order: list[str]) -> Readings:
+    """All readings of one raw registry; ``order`` names the columns of its row order."""
+    return Readings(
+        resolve_users(raw, order, "last"),
+        resolve_users(raw, order, "first"),
+        resolve_users(raw, order, None, lenient_ids=True),
+    )
+
+
+def _ordered_rows(spark: SparkSession, path: str, sep: str) -> DataFrame:
     raw = spark.read.option("header", True).option("sep", sep).csv(path)
-    ordered = raw.select(
+    return raw.select(
         "*",
         F.col("_metadata.file_name").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line"),
     )
-    return resolve_users(ordered, ["_file", "_block", "_line"], keep, lenient_ids)
+
+
+_ROW_ORDER = ["_file", "_block", "_line"]
+
+
+def read_readings(spark: SparkSession, path: str, sep: str = ",") -> Readings:
+    """The readings of a registry in delimited text with a header, in file order."""
+    return registry_readings(_ordered_rows(spark, path, sep), _ROW_ORDER)
+
+
+def read_users(
+    spark: SparkSession, path: str, sep: str = ",", keep: str | None = "last", lenient_ids: bool = False
+) -> DataFrame:
+    """Registry from delimited text with a header, in file order."""
+    return resolve_users(_ordered_rows(spark, path, sep), _ROW_ORDER, keep, lenient_ids)

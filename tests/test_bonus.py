@@ -15,9 +15,9 @@ MODO = "Carga saldo desde MODO"
 def brute(data):
     out = {}
     for tx, ts, kind, doc, _, amount in data:
-        if "Bonific" not in kind or doc is None or ts is None:
+        if "Bonific" not in kind or doc is None or ts is None or amount is None:
             continue
-        goal = amount or Decimal(0)
+        goal = amount
         later = sorted(
             (r[1], r[0], max(r[5] or Decimal(0), Decimal(0)))
             for r in data
@@ -74,7 +74,7 @@ def test_types_rates_and_long_form(facts):
         (3, "2025-03-01 12:00:00", "Jugada", 1, "A", 10), (4, "2025-03-01 13:00:00", MODO, 1, "x", 1),
         (5, "2025-03-02 10:00:00", "Bonificación", 1, None, None),
     )
-    kpis = bonus.bonus_kpis(bonus.bonus_detail(f))
+    kpis = bonus.bonus_kpis(bonus.bonus_daily(f), bonus.bonus_detail(f))
     start, end = datetime(2025, 3, 1, 15), datetime(2025, 3, 1)
     rates = bonus.bonus_rates(kpis, start, end).first()
     assert rates["Bonos_Otorgados"] == 2 and rates["Monto_Bonos"] == 30.0
@@ -85,3 +85,18 @@ def test_types_rates_and_long_form(facts):
     assert [tuple(r[1:]) for r in rows(bonus.bonus_by_type(daily, start, end))] == [("Depósito", 1.0), ("Registro", 1.0)]
     lacking = bonus.bonus_by_type(daily.drop("Deposito_Cant"), start, end)
     assert [r[2] for r in rows(lacking)] == [0.0, 1.0]
+
+
+def test_daily_and_kpis_count_the_same_bonuses(facts):
+    f = facts(
+        (1, "2025-03-01 10:00:00", "Bonificación", None, "Alta", 10),
+        (2, "2025-03-01 11:00:00", "Bonificación", 2, "x", None),
+        (3, "2025-03-01 11:00:00", "Bonificación", 2, "x", 5),
+        (4, "2025-03-01 12:00:00", "Jugada", 2, "A", 10),
+        (5, "2025-03-02 12:00:00", "Bonificación", None, "x", 7),
+    )
+    shared = ["Fecha_Dia", "Bonos_Otorgados", "Monto_Bonos", "Registro_Cant", "Deposito_Cant"]
+    daily, kpis = bonus.bonus_daily(f), bonus.bonus_kpis(bonus.bonus_daily(f), bonus.bonus_detail(f))
+    assert rows(daily.select(shared)) == rows(kpis.select(shared))
+    assert [r[1:3] for r in rows(daily)] == [(2, 15.0), (1, 7.0)]
+    assert [r["Jugaron_PostBono"] for r in kpis.collect()] == [1, 0]

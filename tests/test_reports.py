@@ -167,7 +167,7 @@ def test_retention_rate(spark, order_facts):
 def test_bonus_funnel_narrows(event_facts):
     detail = bonus.bonus_detail(event_facts)
     daily = by_key(bonus.bonus_daily(event_facts))
-    for r in bonus.bonus_kpis(detail).collect():
+    for r in bonus.bonus_kpis(bonus.bonus_daily(event_facts), detail).collect():
         day, granted, amount, played, spent, loaded, signup, deposit = r
         assert granted >= played >= spent >= loaded and signup + deposit == granted
         assert daily[day] == (granted, amount, signup, deposit)
@@ -193,3 +193,28 @@ def test_rollup_gives_the_same_report(event_facts, name):
     report, rules = REPORTS[name], Rules()
     assert rules.channels == ("MODO", "Retail")
     assert sorted(rows(report(daily_rollup(event_facts))), key=repr) == sorted(rows(report(event_facts)), key=repr)
+
+
+def test_sums_never_wrap(spark):
+    from ledgerlens.operators import loads as L
+
+    facts = spark.sql(
+        "SELECT date'2025-01-01' AS day, true AS is_load, 'MODO' AS channel, 1 AS n, id AS doc_id,"
+        " 9000000000000000000 AS cents FROM range(5)"
+    )
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert L.loads_daily_channel(facts).first()["Monto"] == 4.5e17
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_a_rollup_cannot_be_cut_inside_a_day(event_facts):
+    from datetime import datetime
+
+    start, end = datetime(2024, 1, 5, 10), datetime(2024, 1, 9)
+    assert loads.period_kpis(event_facts, start, end).count() == 1
+    with pytest.raises(ValueError, match="roll-up"):
+        loads.period_kpis(daily_rollup(event_facts), start, end)
+    assert loads.period_kpis(daily_rollup(event_facts), datetime(2024, 1, 5), end).count() == 1

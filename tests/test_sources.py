@@ -10,8 +10,8 @@ from ledgerlens.plans.bundle import write_reports
 from ledgerlens.schema import LEDGER
 from ledgerlens.sources.ledger import LedgerStore
 from ledgerlens.sources.manifest import list_files, load_manifest, pending_files, save_manifest, upsert_manifest
-from ledgerlens.sources.registry import read_users, resolve_users
-from ledgerlens.sources.reports import read_reports, unique_movements
+from ledgerlens.sources.registry import read_readings, read_users, resolve_users
+from ledgerlens.sources.reports import parse_reports, read_reports, report_lines, stored_lines, unique_movements
 from ledgerlens.sources.tables import read_dated_csv, write_table
 from ledgerlens.streaming.ingest import ingest_stream
 
@@ -41,7 +41,7 @@ def test_preamble_quotes_and_bad_cells(spark, tmp_path):
         lock.write(HEADER + "\n99;;;;;\n")
     with open(os.path.join(folder, "c.csv"), "w") as other:
         other.write("no header here\n1;2;3\n")
-    got = rows(read_reports(spark, folder).orderBy("file_name", "line").drop("file_name", "block", "line"))
+    got = rows(read_reports(spark, folder).orderBy("file_name", "line").drop("tx_key", "file_name", "block", "line"))
     assert got == [
         (1, datetime(2025, 3, 5, 10), "Jugada", 7, 'Jugada - "A; B"', Decimal("1234.56")),
         (2, None, "Premio", None, "", None),
@@ -53,7 +53,7 @@ def test_preamble_quotes_and_bad_cells(spark, tmp_path):
 def test_rows_before_the_first_header_are_left_out(spark, tmp_path):
     with open(tmp_path / "a.csv", "w", encoding="utf-8") as out:
         out.write("﻿x;y\n5;01/01/2025;Jugada;1;a;1\n" + HEADER + "\n6;01/01/2025;Jugada;1;tipo mov;1\n7;;;;;\n")
-    assert [r[0] for r in rows(read_reports(spark, str(tmp_path)).orderBy("line"))] == [6, 7]
+    assert [r.tx_id for r in read_reports(spark, str(tmp_path)).orderBy("line").collect()] == [6, 7]
 
 
 def test_missing_column_is_an_error(spark, tmp_path):
@@ -66,8 +66,8 @@ def test_one_row_per_transaction(spark, tmp_path):
     put(str(tmp_path), "a.csv", "1;01/01/2025;A;1;x;1", "1;01/01/2025;B;1;x;1")
     put(str(tmp_path), "b.csv", "1;01/01/2025;C;1;x;1", "2;01/01/2025;D;1;x;1")
     parsed = read_reports(spark, str(tmp_path))
-    assert sorted(r[2] for r in rows(unique_movements(parsed))) == ["C", "D"]
-    assert sorted(r[2] for r in rows(unique_movements(parsed, "first"))) == ["A", "D"]
+    assert sorted(r.movement_type for r in unique_movements(parsed).collect()) == ["C", "D"]
+    assert sorted(r.movement_type for r in unique_movements(parsed, "first").collect()) == ["A", "D"]
 
 
 def test_large_report_splits_in_order(spark, tmp_path):
@@ -77,8 +77,8 @@ def test_large_report_splits_in_order(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
     try:
         parsed = read_reports(spark, str(tmp_path))
-        assert parsed.rdd.getNumPartitions() > 3
-        assert {r[2] for r in rows(unique_movements(parsed))} == {f"T{i}" for i in range(4500, 5000)}
+        assert parsed.select("block").distinct().count() > 3
+        assert {r.movement_type for r in unique_movements(parsed).collect()} == {f"T{i}" for i in range(4500, 5000)}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
@@ -215,3 +215,64 @@ def test_bundle(spark, tmp_path, ledger, registry):
     assert rows(table("comparativa_modo")) == [("Before 07/07/2025", "0.0", "0.0"), ("After 07/07/2025", "10.0", "4.0")]
     assert table("top10_quini6").columns == ["Documento", "Bets", "Gastado", "DNI", "Usuario", "Correo"]
     assert [r[1] for r in rows(table("usuarios_inactivos"))] == ["b"]
+
+
+def test_text_and_missing_ids_stay_apart(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    os.mkdir(folder)
+    ids = ["TX-1", "TX-2", "", "", "7", "7.0", "1.2", "1.7"]
+    put(folder, "a.csv", *[f"{i};01/01/2025;A;1;x;{k}" for k, i in enumerate(ids)])
+    store = LedgerStore(spark, str(tmp_path / "ledger"))
+    store.ingest(folder)
+    assert sorted(int(r.amount) for r in store.read().collect()) == [0, 1, 2, 3, 5, 6, 7]
+    put(folder, "a.csv", *[f"{i};01/01/2025;A;1;x;{k}" for k, i in enumerate(ids)], mtime=1_900_000_000)
+    store.ingest(folder)
+    assert store.read().count() == 7
+
+
+def test_cells_that_break_over_lines(spark, tmp_path):
+    put(
+        str(tmp_path), "a.csv", '1;01/01/2025;A;1;"two', 'lines; ""quoted""";5', "2;01/01/2025;A;1;plain;6",
+        '3;01/01/2025;A;1;5" pipe;7', "4;01/01/2025;A;1;plain;8",
+    )
+    put(str(tmp_path), "b.csv", '5;01/01/2025;A;1;a ""b"";9')
+    got = {r.tx_id: (r.description, int(r.amount)) for r in read_reports(spark, str(tmp_path)).collect()}
+    assert got[1] == ('two\nlines; "quoted"', 5) and got[2] == ("plain", 6) and got[4] == ("plain", 8)
+    assert got.keys() == {1, 2, 3, 4, 5} and got[3][0].startswith('5" pipe')
+
+
+def test_places_do_not_depend_on_the_split_plan(spark, tmp_path):
+    for name in "abc":
+        put(str(tmp_path), f"{name}.csv", *[f"{name}{i};01/01/2025;A;1;x;1" for i in range(700)])
+    lines = report_lines(spark.read, str(tmp_path))
+    settings = ("spark.sql.files.minPartitionNum", "spark.sql.files.maxPartitionBytes")
+    numbered = stored_lines(lines, str(tmp_path / "lines"))
+    found = set()
+    for number, size in ((1, "128m"), (50, "4k")):
+        for key, value in zip(settings, (str(number), size)):
+            spark.conf.set(key, value)
+        try:
+            found.add(parse_reports(numbered).count())
+        finally:
+            for key in settings:
+                spark.conf.unset(key)
+    assert found == {2100}
+
+
+def test_bundle_takes_each_reading_of_the_registry(spark, tmp_path, ledger):
+    book = ledger(
+        (1, "2025-07-08 10:00:00", "Carga saldo desde MODO", 123, "x", 10),
+        (2, "2025-07-08 11:00:00", "Jugada", 123, "Jugada - Quini 6", 4),
+    )
+    with open(tmp_path / "u.csv", "w") as out:
+        out.write("DNI,Usuario,Correo,Fecha_Alta\n123,old,o@x,01/02/2022\nDNI 00123.0,other,p@x,01/02/2022\n123,new,n@x,01/02/2022\n")
+    write_reports(spark, book, str(tmp_path / "out"), read_readings(spark, str(tmp_path / "u.csv")), fmt="parquet")
+
+    def table(name):
+        return spark.read.parquet(str(tmp_path / "out" / name))
+
+    assert sorted(r["Usuario"] for r in table("reactivados_modo").collect()) == ["new", "old", "other"]
+    assert [r["Usuario"] for r in table("top10_quini6").collect()] == ["old"]
+    assert [r["Usuario"] for r in table("apuestas_con_usuarios").collect()] == ["new"]
+    assert {r["KPI"]: r["Valor"] for r in table("kpis").collect()}["Total Usuarios Registrados"] == 1
+    assert "_work" not in table("kpis").inputFiles()[0]

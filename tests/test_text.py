@@ -56,3 +56,25 @@ def test_times_ignore_the_session_zone(spark, zone):
         assert apply(spark, X.dayfirst_ts, "04/11/2018 00:30:00") == [datetime(2018, 11, 4, 0, 30)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_folding_other_scripts(spark):
+    got = apply(spark, X.fold_text, "Йод ﬁn Ά ½", "ÆØ Ł ﷺ", "ｶﾞ ①", "ÁÉ ñ", "K")
+    plain = [X.fold_plain(t).lower() for t in ("Йод ﬁn Ά ½", "ÆØ Ł ﷺ", "ｶﾞ ①", "ÁÉ ñ", "K")]
+    assert got == plain
+
+
+def test_short_years_and_half_days(spark):
+    got = apply(
+        spark, X.dayfirst_ts, "05/07/25 10:00", "05/07/85", "5/7/2025 1:30:00 PM", "05/07/2025 12:15 a. m.",
+        "05/07/25 12:00 pm", "05/07/2025 13:00 PM", "05/07/25 11:59:59 p.m.",
+    )
+    assert got == [
+        datetime(2025, 7, 5, 10), datetime(1985, 7, 5), datetime(2025, 7, 5, 13, 30), datetime(2025, 7, 5, 0, 15),
+        datetime(2025, 7, 5, 12), None, datetime(2025, 7, 5, 23, 59, 59),
+    ]
+
+
+def test_ids_as_numbers_and_text(spark):
+    assert apply(spark, X.numeric_id, "12.345.678", "1.2", "1.7", "12.0", "1.234") == [12345678, None, None, 12, None]
+    assert apply(spark, X.text_id, " TX-1 ", "007", "12.0", "", None, "1.2") == ["TX-1", "7", "12", None, None, "1.2"]
