@@ -161,17 +161,16 @@ def _repeated_starts(parts: list[bytes], p: Params) -> list[np.ndarray]:
     sizes = np.array([len(x) for x in parts])
     text = np.frombuffer(joined, np.uint8).astype(np.int64) + 2
     s = np.append(np.insert(text, np.cumsum(sizes), 1), 0)
-    starts = np.concatenate([[0], np.cumsum(sizes + 1)])
     sa = suffix_array(s)
-    shared = permuted_common_prefix(s, sa, p.window)
+    starts = np.concatenate([[0], np.cumsum(sizes + 1)])
     part = np.repeat(np.arange(len(parts)), sizes + 1)
     left = np.append(starts[part + 1] - 1 - np.arange(len(part)), 0)  # bytes up to the end of the part
     whole = left >= p.window
-    hit = np.zeros(len(s), bool)
-    meets = np.flatnonzero((shared >= p.window) & whole)
+    meets = np.flatnonzero(permuted_common_prefix(s, sa, p.window, whole) >= p.window)
+    order = sa[whole[sa]]
     before = np.empty(len(s), np.int64)
-    before[sa[1:]] = sa[:-1]
-    meets = meets[whole[before[meets]]]
+    before[order[1:]] = order[:-1]
+    hit = np.zeros(len(s), bool)
     hit[meets] = True
     hit[before[meets]] = True
     return [np.flatnonzero(hit[a : b - 1]) for a, b in zip(starts[:-1], starts[1:], strict=True)]

@@ -73,19 +73,24 @@ def _induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, bounds: np.ndar
 
 
 def _rank_by_doubling(s: np.ndarray) -> np.ndarray:
-    """Suffix order of a string with many symbols."""
+    """Suffix order of a string with many symbols. A rank is the first place of its group
+    of suffixes that agree so far; only groups of several are sorted again."""
     n, step = len(s), 1
     order = np.argsort(s, kind="stable")
+    places, keys = np.arange(n), s[order]
+    rank = np.empty(n, np.int64)
     while True:
-        ordered = s[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
-        if rank[order[-1]] == n - 1:
+        head = np.concatenate([[True], keys[1:] != keys[:-1]])
+        rank[order[places]] = np.maximum.accumulate(np.where(head, places, 0))
+        single = head & np.concatenate([head[1:], [True]])
+        places = places[~single]
+        if not len(places):
             return order
-        second = np.zeros(n, np.int64)
-        second[:-step] = rank[step:] + 1
-        s = rank * (n + 1) + second
-        order = np.argsort(s, kind="stable")
+        own = order[places]
+        after = own + step
+        keys = rank[own] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        sort = np.argsort(keys, kind="stable")
+        order[places], keys = own[sort], keys[sort]
         step *= 2
 
 
@@ -129,30 +134,31 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     return _induce(s, smaller, ordered, bounds)
 
 
-def permuted_common_prefix(s: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
+def permuted_common_prefix(s: np.ndarray, sa: np.ndarray, most: int, among: np.ndarray | None = None) -> np.ndarray:
     """Per start, in text order, the symbols its suffix shares with the suffix before it in
-    suffix order; ``most`` at most."""
-    before = np.full(len(s), -1, np.int64)
-    before[sa[1:]] = sa[:-1]
-    padded = np.concatenate([s, np.arange(-most - 8, 0)])  # no run of text goes on in here
+    suffix order; ``most`` at most. With ``among``, a mask, only the starts in it count, as
+    suffixes and as those before them; others get 0. Symbols fit 16 bits."""
+    order = sa if among is None else sa[among[sa]]
     out = np.zeros(len(s), np.int64)
-    active, shared = np.flatnonzero(before >= 0), 0
-    width = 8
-    # Blocks of symbols as one comparison; the last block of a suffix symbol by symbol.
-    while len(active) and shared + width <= most:
-        same = np.ones(len(active), bool)
-        for i in range(width):
-            same &= padded[active + (shared + i)] == padded[before[active] + (shared + i)]
-        out[active[same]] = shared + width
-        rest, active, shared = active[~same], active[same], shared + width
-        at = shared - width
-        while len(rest):
-            rest = rest[padded[rest + at] == padded[before[rest] + at]]
-            at += 1
-            out[rest] = at
-    at = shared
-    while len(active) and at < most:
-        active = active[padded[active + at] == padded[before[active] + at]]
-        at += 1
-        out[active] = at
+    active, before = order[1:], order[:-1]
+    short = s.astype(np.uint16)
+    # Four symbols as one number, at every place. Two suffixes differ at the last symbol at
+    # the latest, so nothing behind it is ever compared.
+    padded = np.concatenate([short, np.zeros(4, np.uint16)])
+    words = np.lib.stride_tricks.sliding_window_view(padded, 4).copy().view(np.uint64).ravel()
+    shared = 0
+    while len(active) and shared + 4 <= most:
+        same = words[active + shared] == words[before + shared]
+        out[active[same]] = shared + 4
+        _by_symbol(short, active[~same], before[~same], shared, shared + 4, out)
+        active, before, shared = active[same], before[same], shared + 4
+    _by_symbol(short, active, before, shared, most, out)
     return out
+
+
+def _by_symbol(s: np.ndarray, one: np.ndarray, two: np.ndarray, at: int, end: int, out: np.ndarray) -> None:
+    """Note how far pairs of suffixes that share ``at`` symbols agree, up to ``end``."""
+    while len(one) and at < end:
+        same = s[one + at] == s[two + at]
+        one, two, at = one[same], two[same], at + 1
+        out[one] = at
