@@ -46,7 +46,7 @@ class Params:
     chunk: int = 8 << 20  # window starts handled at once in a long text
     regions: int = 4096  # most different regions of one anchor that go to one shard
     shard_bytes: int = 1 << 20  # aimed-at text of a shard
-    step_bytes: int = 4 << 20  # most text that one suffix array is built over, by anchor
+    step_bytes: int = 1 << 20  # text after which a suffix array is closed, between anchors
 
 
 _BYTES = np.random.default_rng(4).integers(0, 2**64, 256, np.uint64)
