@@ -1,14 +1,17 @@
 """WARC archives written and read by way of an index.
 
-The index comes first: file, offset, length, URL and digest of every record follow from the
-pages alone, so they are known before an archive is written. Archives are plain files of
-bounded size, written by Spark's text writer; the blank lines that end a record are the
-separator between rows. Reading starts from index rows: selected records are sorted by
-offset, near ones are joined into one byte range, and ranges are read by tasks.
+The index comes first: file, offset, length, URL and digest of every record are written before
+an archive is. Each record is a gzip member of its own, as the format has it, compressed where
+its page is read, so only compressed bytes move. Archives are files of bounded size. Reading
+starts from index rows: selected records are sorted by offset, near ones are joined into one
+byte range, and ranges are read by tasks.
 
 Of pages with equal payloads of at least ``MIN_REVISIT`` bytes, the one with the largest id
 is stored; the others are revisits that refer to it.
 
+Archives are files in a store that Arrow can open by URI, as is the shared scratch folder. A
+file is written under a name of the attempt and then renamed, so a lost task leaves none.
+
 Defined cases: a null html is an empty payload; a null url is ``about:blank``, line breaks in
 one become blanks; pages repeated with the same id, url and html give the same record each
 time, and all rows with the largest id are responses; a null id ranks below every other;
@@ -17,8 +20,10 @@ an empty table gives an index without rows and no archive.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,6 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.common import saved
 from ledgerlens.session import scratch_dir
 
 MIN_REVISIT = 1000
@@ -57,7 +63,8 @@ def roles(pages: DataFrame) -> DataFrame:
     best = F.max(F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "url"))
     light = rows.select("page_id", "url", "payload_bytes", "digest").where(large)
     shared = light.groupBy("digest").agg(F.count("*").alias("n"), best.alias("stored")).where("n > 1")
-    shared = shared.select(F.col("digest").alias("shared_digest"), "stored")
+    # Written, so that its true size is known where the join is planned.
+    shared = saved(shared.select(F.col("digest").alias("shared_digest"), "stored"), "warc-shared")
     rows = rows.join(shared, large & (F.col("digest") == F.col("shared_digest")), "left")
     revisit = F.col("stored").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("stored.page_id"))
     return rows.select(
@@ -109,22 +116,58 @@ def record(date: str = DATE) -> Column:
     return F.concat(head, http)
 
 
+def _compressed(records: pd.Series) -> pd.Series:
+    # No time and no name in the member: equal records give equal bytes.
+    return pd.Series([gzip.compress((r + END).encode(), 6, mtime=0) for r in records], dtype=object)
+
+
+FILES = "shard int, uri string, bytes long"
+ORDER = ("page_id", "record_id")
+
+
 def write(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """``path/index``: a row per record; ``path/archives``: one file per shard."""
-    total = pages.agg(F.sum(F.octet_length("html") + 600)).first()[0] or 0
+    """``path/records``: every record, compressed; ``path/index``: a row per record;
+    ``path/archives``: one file per shard; ``path/files``: their URIs."""
+    spark = pages.sparkSession
+    member = F.pandas_udf(_compressed, "binary")(record())
+    roles(pages).withColumn("member", member).drop("html").write.parquet(f"{path}/records")
+    records = spark.read.parquet(f"{path}/records").withColumn("length", F.octet_length("member").cast("long"))
+    total = records.agg(F.sum("length")).first()[0] or 0
     shards = 1 + int(total) // archive_bytes
-    shard = F.pmod(F.xxhash64("record_id"), F.lit(shards)).cast("int")
-    rows = roles(pages).select("*", shard.alias("shard"))
+    records = records.withColumn("shard", F.pmod(F.xxhash64("record_id"), F.lit(shards)).cast("int"))
     # A total order of different records; equal ones may change places unnoticed.
-    order = ["page_id", "record_id"]
-    sized = rows.withColumn("length", F.octet_length(record()).cast("long") + len(END)).drop("html")
-    before = Window.partitionBy("shard").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    index = sized.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
+    before = Window.partitionBy("shard").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    index = records.drop("member").withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
     index.write.parquet(f"{path}/index")
-    dealt = rows.repartition(shards, "shard").sortWithinPartitions("shard", *order)
-    dealt.select("shard", record().alias("value")).write.partitionBy("shard").option("lineSep", END).text(
-        f"{path}/archives"
-    )
+    dealt = records.select("shard", *ORDER, "member").repartition(shards, "shard")
+    ordered = dealt.sortWithinPartitions("shard", *ORDER).select("shard", "member")
+    folder = f"{path}/archives"
+
+    def store(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        done, out, shard = [], None, None
+
+        def finish() -> None:
+            size = out.tell()
+            out.close()
+            files.move(temporary, name)
+            done.append((shard, f"{folder}/{shard:08}.warc.gz", size))
+
+        for frame in frames:
+            for own, member in zip(frame["shard"], frame["member"], strict=True):
+                if own != shard:
+                    if out:
+                        finish()
+                    shard = own
+                    files, name = _store(f"{folder}/{shard:08}.warc.gz")
+                    files.create_dir(name.rpartition("/")[0], recursive=True)
+                    temporary = f"{name}.{uuid.uuid4().hex}"
+                    out = files.open_output_stream(temporary)
+                out.write(member)
+        if out:
+            finish()
+        yield pd.DataFrame(done, columns=["shard", "uri", "bytes"])
+
+    ordered.mapInPandas(store, FILES).write.parquet(f"{path}/files")
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -147,13 +190,18 @@ def byte_ranges(selected: DataFrame) -> DataFrame:
     )
 
 
-@lru_cache(maxsize=16)
-def _open(uri: str):
+def _store(uri: str):
+    """The file system of a URI and the name in it."""
     from pyarrow.fs import FileSystem
 
     # Hadoop writes file:/x where a URI has file:///x.
-    store, name = FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
-    return store.open_input_file(name)
+    return FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+
+
+@lru_cache(maxsize=16)
+def _open(uri: str):
+    files, name = _store(uri)
+    return files.open_input_file(name)
 
 
 PARSED = (
@@ -163,7 +211,8 @@ PARSED = (
 
 
 def parse(raw: bytes, with_payload: bool) -> tuple:
-    """One record's fields from its bytes; its own digest is checked."""
+    """One record's fields from its gzip member; its own digest is checked."""
+    raw = gzip.decompress(raw)
     head, _, rest = raw.partition(END.encode())
     lines = head.decode().split(CRLF)
     fields = dict(line.split(": ", 1) for line in lines[1:])
@@ -203,7 +252,7 @@ def read(spark: SparkSession, path: str, selected: DataFrame, with_payload: bool
 
     if selected.isEmpty():
         return spark.createDataFrame([], PARSED)
-    files = spark.read.format("binaryFile").load(f"{path}/archives").select("shard", F.col("path").alias("uri"))
+    files = spark.read.parquet(f"{path}/files").select("shard", "uri")
     ranges = byte_ranges(selected).join(files, "shard")
     return ranges.select("uri", "start", "past", "records").mapInPandas(fetch, PARSED)
 

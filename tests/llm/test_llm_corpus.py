@@ -1,5 +1,6 @@
 """Operators over the whole corpus: similarity join, repeats, archives, scores, packing."""
 
+import gzip
 import hashlib
 import itertools
 import math
@@ -130,6 +131,13 @@ def test_suffix_arrays_against_sorting(monkeypatch):
         for a, b in itertools.pairwise(plain):
             same = next((i for i, (x, y) in enumerate(zip(s[a:], s[b:], strict=False)) if x != y), 0)
             assert shared[b] == min(same, 13)
+        among = np.array([rng.random() < 0.5 for _ in range(n + 1)])
+        some = permuted_common_prefix(s, np.array(plain), 13, among)
+        chosen = [i for i in plain if among[i]]
+        for a, b in itertools.pairwise(chosen):
+            same = next((i for i, (x, y) in enumerate(zip(s[a:], s[b:], strict=False)) if x != y), 0)
+            assert some[b] == min(same, 13)
+        assert not some[~among].any()
 
 
 def plain_repeats(texts, window):
@@ -215,12 +223,12 @@ def test_archives_on_edges(spark):
 def test_selected_records_in_few_ranges(spark, tmp_path, monkeypatch):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     path = str(tmp_path / "archive")
-    warc.write(pages, path, archive_bytes=20_000)
+    warc.write(pages, path, archive_bytes=10_000)
     index = warc.read_index(spark, path)
     assert index.select("shard").distinct().count() > 1
     chosen = index.where("page_id % 3 = 0")
     html = {r.page_id: (r.html or "").encode() for r in pages.collect()}
-    for gap, most in ((64 << 10, 4 << 20), (0, 4 << 20), (64 << 10, 5000)):
+    for gap, most in ((64 << 10, 4 << 20), (0, 4 << 20), (64 << 10, 2000)):
         monkeypatch.setattr(warc, "GAP_BYTES", gap)
         monkeypatch.setattr(warc, "RANGE_BYTES", most)
         rows = warc.read(spark, path, chosen, with_payload=True).collect()
@@ -228,8 +236,10 @@ def test_selected_records_in_few_ranges(spark, tmp_path, monkeypatch):
         assert all(bytes(r.payload) == html[int(r.page_id)] for r in rows if r.record_type == "response")
     monkeypatch.undo()
     assert warc.byte_ranges(chosen).count() == chosen.select("shard").distinct().count() < chosen.count()
-    raw = b"".join(p.read_bytes() for p in (tmp_path / "archive/archives").rglob("part-*"))
-    assert raw.count(b"WARC/1.1\r\n") == pages.count() and len(raw) == index.agg(F.sum("length")).first()[0]
+    files = sorted((tmp_path / "archive/archives").iterdir())
+    raw = b"".join(gzip.decompress(f.read_bytes()) for f in files)
+    assert all(f.name.endswith(".warc.gz") for f in files) and raw.count(b"WARC/1.1\r\n") == pages.count()
+    assert sum(f.stat().st_size for f in files) == index.agg(F.sum("length")).first()[0]
 
 
 # Scores
@@ -237,9 +247,12 @@ def test_selected_records_in_few_ranges(spark, tmp_path, monkeypatch):
 
 def test_packed_numbers():
     rng = np.random.default_rng(1)
-    for n, top in ((0, 1), (1, 2**64), (1000, 2**64), (1000, 300)):
-        numbers = np.unique(rng.integers(0, top, n, np.uint64, endpoint=top < 2**64) if top < 2**64 else rng.integers(0, 2**64 - 1, n, np.uint64))
-        assert n == 0 or (lm.unpack(lm.pack(numbers)) == numbers).all()
+    for bits, n in ((1, 1), (1, 2), (20, 1), (20, 1000), (44, 5000), (64, 300), (9, 512), (33, 0)):
+        numbers = np.unique(rng.integers(0, 2**bits - 1, n, np.uint64, endpoint=True))
+        assert (lm.unpack(lm.pack(numbers, bits)) == numbers).all()
+        if n >= 300 and bits > 20:
+            assert len(lm.pack(numbers, bits)) * 8 < n * (bits - math.log2(n) + 3.5) + 80
+    assert (lm.unpack(lm.pack(np.arange(512, dtype=np.uint64), 9)) == np.arange(512)).all()
     counts = np.array([1, 254, 255, 256, 10**12])
     assert (lm.unpack_counts(lm.pack_counts(counts), 5) == counts).all()
     words = np.array([0, 5, 300, 2**31 - 1])
