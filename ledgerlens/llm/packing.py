@@ -29,59 +29,79 @@ CAPACITY = 2048
 #: Most pieces, on average, that one packing task holds: lengths and keys only.
 GROUP_PIECES = 250_000
 MAX_EXCHANGES = 8
-#: Chunks of text whose ids a task remembers before it starts anew.
-REMEMBERED = 400_000
+#: Parts and chunks of text whose ids a worker remembers in each of two generations.
+REMEMBERED_PARTS, REMEMBERED_CHUNKS = 600_000, 200_000
 
-#: A chunk whose ids are those of its lower-cased letters and of the mark behind it: letters
-#: that lower-casing and composing map one to one, so no rule of the tokenizer spans them.
-SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|]?)")
+#: Characters that lower-casing and composing map one to one, and how the
+#: tokenizer divides them: runs of letters, single digits, runs of marks. The apostrophe is
+#: left out, as it takes letters along.
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
+SIMPLE = re.compile(f"[{LETTERS}0-9{MARKS}]+")
+PART = re.compile(f"[{LETTERS}]+|[0-9]|[{MARKS}]+")
+
+
+class Memory:
+    """A dictionary that forgets what was not asked for while it filled up twice."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def get(self, key: str) -> bytes | None:
+        value = self.young.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key: str, value: bytes) -> None:
+        if len(self.young) >= self.most:
+            self.young, self.old = {}, self.young
+        self.young[key] = value
 
 
 class Encoder:
     """Token ids of texts as little-endian 32-bit integers.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those
-    of its chunks between blanks; ids of chunks seen before are remembered.
+    of its chunks between blanks; ids of chunks seen before are remembered. Chunks of plain
+    characters are divided here as the tokenizer does, and their parts, lower-cased, go
+    to its merges; all others go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.cores: dict[str, bytes] = {"": b""}
-
-    def _encode(self, parts: list[str]) -> Iterator[bytes]:
-        for encoded in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False):
-            yield np.array(encoded.ids, "<u4").tobytes()
-
-    def _learn(self, new: list[str]) -> None:
-        if len(self.chunks) > REMEMBERED:
-            self.chunks = {"": b""}
-        if len(self.cores) > REMEMBERED:
-            self.cores = {"": b""}
-        simple = {chunk: m for chunk in new if (m := SIMPLE.fullmatch(chunk))}
-        wanted = {part for m in simple.values() for part in (m[1].lower(), m[2]) if part not in self.cores}
-        wanted = list(wanted)
-        self.cores.update(zip(wanted, self._encode(wanted), strict=True))
-        for chunk, m in simple.items():
-            self.chunks[chunk] = self.cores[m[1].lower()] + self.cores[m[2]]
-        rest = [chunk for chunk in new if chunk not in simple]
-        self.chunks.update(zip(rest, self._encode(rest), strict=True))
+        self.model = self.tokenizer.model
+        # The merges work on a printable form of the bytes of a character.
+        shown = {c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c) for c in map(chr, range(0xDF, 0x100)) if c != "÷"}
+        self.printable = str.maketrans({c: parts[0][0] for c, parts in shown.items()})
+        self.parts, self.chunks = Memory(REMEMBERED_PARTS), Memory(REMEMBERED_CHUNKS)
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            shown = part if part.isascii() else part.translate(self.printable)
+            ids = np.array([token.id for token in self.model.tokenize(shown)], "<u4").tobytes()
+            self.parts.put(part, ids)
+        return ids
+
+    def _chunk(self, chunk: str) -> bytes:
+        if SIMPLE.fullmatch(chunk) and "<|" not in chunk:
+            return b"".join([self._part(part) for part in PART.findall(chunk.lower())])
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
         chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self.chunks
-        new = [chunk for chunk in set(chunks) if chunk not in known]
-        if new:
-            needed = set(chunks)
-            self._learn(new)
-            if self.chunks is not known:  # forgotten meanwhile: what this text needs as well
-                self._learn([chunk for chunk in needed if chunk not in self.chunks])
-            known = self.chunks
-        return b"".join([known[chunk] for chunk in chunks])
+        own: dict[str, bytes] = {"": b""}
+        for chunk in set(chunks):
+            ids = self.chunks.get(chunk)
+            if ids is None:
+                ids = self._chunk(chunk)
+                self.chunks.put(chunk, ids)
+            own[chunk] = ids
+        return b"".join([own[chunk] for chunk in chunks])
 
 
 PIECES = "key long, doc_id long, piece int, start long, length long, ids_crc32 long"
