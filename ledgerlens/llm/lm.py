@@ -13,7 +13,7 @@ found at all counts as one occurrence with one more step.
 
 Defined cases: a null or empty text has no words, a sum of 0 and a null mean; repeated rows
 are documents of their own, so copies expect each other; a corpus of one document finds
-nothing. N-grams are named by 64-bit hashes.
+nothing. N-grams are named by hashes whose width follows the size of the corpus.
 """
 
 from __future__ import annotations
@@ -42,20 +42,34 @@ class Params:
     part_grams: int = 2_000_000  # most n-grams, on average, that one summing task holds
 
 
-def pack(numbers: np.ndarray) -> bytes:
-    """Ascending 64-bit numbers as their differences, in as many bytes each as the largest
-    needs."""
-    steps = np.diff(numbers, prepend=np.uint64(0))
-    width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
-    return bytes([width]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+#: Bits of an n-gram's name beyond those that number all n-grams: the expected share of
+#: n-grams that meet another one's name is two to the minus this.
+SPARE_BITS = 24
+
+
+def pack(numbers: np.ndarray, bits: int) -> bytes:
+    """Different ascending numbers of ``bits`` bits, in two or three bits each beyond the
+    logarithm of their mean distance: low bits side by side, high bits as steps between
+    ones."""
+    n = len(numbers)
+    low = max(0, bits - n.bit_length())
+    plain = np.unpackbits(numbers.astype("<u8").view(np.uint8).reshape(n, 8), axis=1, count=low, bitorder="little")
+    steps = np.zeros((1 << (bits - low)) + n, np.uint8)
+    steps[(numbers >> np.uint64(low)).astype(np.int64) + np.arange(n)] = 1
+    head = n.to_bytes(4, "little") + bytes([bits])
+    return head + np.packbits(plain, bitorder="little").tobytes() + np.packbits(steps, bitorder="little").tobytes()
 
 
 def unpack(raw: bytes) -> np.ndarray:
-    width = raw[0]
-    steps = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, width)
-    whole = np.zeros((len(steps), 8), np.uint8)
-    whole[:, :width] = steps
-    return np.cumsum(whole.view("<u8").ravel(), dtype=np.uint64)
+    n, bits = int.from_bytes(raw[:4], "little"), raw[4]
+    low = max(0, bits - n.bit_length())
+    cut = 5 + (n * low + 7) // 8
+    plain = np.zeros((n, 64), np.uint8)
+    plain[:, :low] = np.unpackbits(np.frombuffer(raw[5:cut], np.uint8), count=n * low, bitorder="little").reshape(n, low)
+    numbers = np.packbits(plain, axis=1, bitorder="little").view("<u8").ravel()
+    steps = np.unpackbits(np.frombuffer(raw[cut:], np.uint8), bitorder="little")
+    high = np.flatnonzero(steps)[:n] - np.arange(n)
+    return numbers | (high.astype(np.uint64) << np.uint64(low))
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
@@ -137,40 +151,61 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """The words of a block's documents and their n-grams."""
+    """The words of a block's documents and their n-grams, named by ``bits`` bits."""
 
-    def __init__(self, sizes: np.ndarray, words: bytes, vocabulary: bytes):
+    def __init__(self, sizes: np.ndarray, words: bytes, vocabulary: bytes, bits: int):
+        self.bits = bits
         self.sizes = np.asarray(sizes, np.int64)
         self.hashes = np.frombuffer(vocabulary, "<u8")[unpack_words(words)]
         self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
         self.place = np.arange(len(self.hashes)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
 
     def grams(self, order: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ends of all n-grams, as places of words, and their hashes."""
+        """The ends of all n-grams, as places of words, and their names."""
         h = _mix(self.hashes)
         for _ in range(order - 1):
             h = _mix(np.roll(h, 1) * np.uint64(0x9E3779B97F4A7C15) + self.hashes)
         ends = np.flatnonzero(self.place >= order - 1)
-        return ends, h[ends]
+        return ends, h[ends] >> np.uint64(64 - self.bits)
+
+
+@dataclass(frozen=True)
+class Split:
+    """How n-grams are named and dealt: by so many bits, over partitions by the first ones."""
+
+    name: int
+    first: int
+
+    @classmethod
+    def of(cls, grams: int, p: Params) -> Split:
+        first = (grams // p.part_grams).bit_length()
+        return cls(min(64, grams.bit_length() + SPARE_BITS), first)
+
+    def part(self, grams: np.ndarray) -> np.ndarray:
+        return (grams >> np.uint64(self.name - self.first)).astype(np.int64)
+
+    def rest(self, grams: np.ndarray) -> np.ndarray:
+        """Names without the bits that tell the partition."""
+        return grams & np.uint64((1 << (self.name - self.first)) - 1)
 
 
 COUNTED = "part long, block long, n int, grams binary, counts binary"
 
 
-def counted(cut: DataFrame, p: Params, bits: int) -> DataFrame:
+def counted(cut: DataFrame, p: Params, split: Split) -> DataFrame:
     """Each block's different n-grams and counts, split by the first bits of the hash."""
     columns = [field.split()[0] for field in COUNTED.split(", ")]
 
     def over(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples(index=False):
-                block = Block(row.sizes, row.words, row.vocabulary)
+                block = Block(row.sizes, row.words, row.vocabulary, split.name)
                 for n in range(1, p.order + 1):
                     grams, counts = np.unique(block.grams(n)[1], return_counts=True)
-                    part = (grams >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(grams), np.int64)
+                    part, rest = split.part(grams), split.rest(grams)
                     cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
                     rows = [
-                        (int(part[a]), row.block, n, pack(grams[a:b]), pack_counts(counts[a:b]))
+                        (int(part[a]), row.block, n, pack(rest[a:b], split.name - split.first), pack_counts(counts[a:b]))
                         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
                         if b > a
                     ]
@@ -200,12 +235,12 @@ def _summed(frame: pd.DataFrame) -> pd.DataFrame:
 SCORES = "doc_id {}, n_words long, log_score double, n_found array<long>"
 
 
-def _scored(p: Params, total: int, bits: int):
+def _scored(p: Params, total: int, split: Split):
     columns = [field.split()[0] for field in SCORES.split(", ")]
 
     def over(frame: pd.DataFrame) -> pd.DataFrame:
         state = frame[frame["n"] == 0].iloc[0]
-        block = Block(state["sizes"], state["words"], state["vocabulary"])
+        block = Block(state["sizes"], state["words"], state["vocabulary"], split.name)
         n_docs, n = len(block.sizes), len(block.hashes)
         # Occurrences elsewhere of the n-gram ending at each word, by order.
         elsewhere = np.zeros((p.order + 1, n), np.int64)
@@ -214,7 +249,7 @@ def _scored(p: Params, total: int, bits: int):
             ends, hashes = block.grams(order)
             grams, place = np.unique(hashes, return_inverse=True)
             sums = np.zeros(len(grams), np.int64)
-            part = grams >> np.uint64(64 - bits) if bits else np.zeros(len(grams), np.uint64)
+            part = split.part(grams)
             for reply in frame[frame["n"] == order].itertuples(index=False):
                 a, b = np.searchsorted(part, [reply.part, reply.part + 1])
                 sums[a:b] = unpack_counts(reply.counts, b - a)
@@ -248,8 +283,8 @@ def score(docs: DataFrame, p: Params = Params()) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     cut = blocks(docs, p)
     total = cut.agg(F.sum("n_words")).first()[0] or 0
-    bits = max(0, (p.order * total // p.part_grams).bit_length())
-    sums = counted(cut, p, bits).groupBy("part").applyInPandas(_summed, SUMMED)
+    split = Split.of(p.order * total, p)
+    sums = counted(cut, p, split).groupBy("part").applyInPandas(_summed, SUMMED)
     # A block's own row beside the sums of its n-grams.
     state = ["ids", "sizes", "words", "vocabulary"]
     types = dict(cut.dtypes)
@@ -261,6 +296,6 @@ def score(docs: DataFrame, p: Params = Params()) -> DataFrame:
         *state,
     )
     both = own.unionByName(sums.select("*", *(F.lit(None).cast(types[c]).alias(c) for c in state)))
-    scores = both.groupBy("block").applyInPandas(_scored(p, total, bits), SCORES.format(kind))
+    scores = both.groupBy("block").applyInPandas(_scored(p, total, split), SCORES.format(kind))
     mean = F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).alias("mean_log_score")
     return scores.select("doc_id", "n_words", "log_score", mean, "n_found")
