@@ -125,30 +125,40 @@ def regions(docs: DataFrame, p: Params) -> DataFrame:
     return saved(long.mapInPandas(cut, REGIONS), "repeats-regions")
 
 
-PIECES = "k1 long, k2 long, first int, place int, anchor long, region long, n long, many long, raw binary"
+PIECES = "k1 long, k2 long, first int, place int, anchor long, region long, n long, many long, copies long, raw binary"
 
 
 def _with_bytes(docs: DataFrame, wanted: DataFrame, p: Params) -> DataFrame:
-    """The bytes of wanted regions, by one join with the texts."""
+    """The bytes of each wanted region, once whatever the copies of its text, by one join
+    with the texts."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = [field.split()[0] for field in PIECES.split(", ")]
+        done = set()  # copied texts that this task has cut
         for frame in frames:
             rows = []
             for k1, k2, text, own in zip(frame["k1"], frame["k2"], frame["text"], frame["own"], strict=True):
+                if own[0]["copies"] > 1:
+                    if (k1, k2) in done:
+                        continue
+                    done.add((k1, k2))
                 raw = text.encode()
                 for r in own:
                     a = r["first"]
-                    old = [r[c] for c in ("place", "anchor", "region", "n", "many")]
+                    old = [r[c] for c in ("place", "anchor", "region", "n", "many", "copies")]
                     rows.append((k1, k2, a, *old, raw[a : r["last"] + p.window]))
             yield pd.DataFrame(rows, columns=columns)
 
     # At most the regions of one text.
-    own = F.collect_list(F.struct("first", "last", "place", "anchor", "region", "n", "many")).alias("own")
+    own = F.collect_list(F.struct("first", "last", "place", "anchor", "region", "n", "many", "copies")).alias("own")
     per_text = wanted.groupBy("k1", "k2").agg(own)
     long = docs.where(F.octet_length("text") >= p.window).select(*_text_key(), "text")
     found = long.join(per_text, ["k1", "k2"]).select("k1", "k2", "text", "own")
-    return saved(found.mapInPandas(cut, PIECES), "repeats-pieces")
+    pieces = saved(found.mapInPandas(cut, PIECES), "repeats-pieces")
+    # Tasks may each have cut a copy of one text.
+    copied = pieces.where("copies > 1").dropDuplicates(["anchor", "region"])
+    once = pieces.where("copies = 1").unionByName(saved(copied, "repeats-copied"))
+    return once.drop("copies")
 
 
 MARKS = "k1 long, k2 long, first int, last int"
@@ -266,8 +276,8 @@ def repeated(docs: DataFrame, p: Params = Params()) -> DataFrame:
     live = all_regions.join(live, "anchor").groupBy(all_regions.columns).agg(F.count("*").alias("n"))
     live = saved(live, "repeats-live")
     marks = [_whole(live)]
-    some = ["k1", "k2", "first", "last", "place"]
-    wanted = saved(_counted(live, some), "repeats-wanted")
+    some = ["k1", "k2", "first", "last", "place", "copies"]
+    wanted = saved(_counted(live.withColumn("copies", F.col("n")), some), "repeats-wanted")
     pieces = _with_bytes(docs, wanted, p)
     marks.append(_by_suffix_arrays(pieces.where(F.col("many") <= p.regions), p))
     hot = pieces.where(F.col("many") > p.regions).withColumns({"low": F.lit(0), "high": F.lit(p.window - p.gram)})

@@ -184,6 +184,23 @@ def test_common_passages_with_different_ends(spark, p):
     assert found_repeats(docs, p) == Counter((i, *x) for (i, _), x in zip(texts, plain, strict=True))
 
 
+def test_copies_of_one_text_are_cut_once(spark, monkeypatch):
+    rng = random.Random(12)
+    text = "".join(rng.choice("abcdefghij") for _ in range(150))
+    texts = [text] * 3000 + [text[:70] + "X" + text[75:]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    pieces, plain = [], repeats._by_suffix_arrays
+
+    def counted(rows, p):
+        pieces.append(rows.count())
+        return plain(rows, p)
+
+    monkeypatch.setattr(repeats, "_by_suffix_arrays", counted)
+    found = found_repeats(docs, repeats.Params(window=40, gram=8))
+    assert found == Counter((i, *x) for i, x in enumerate(plain_repeats(texts, 40)))
+    assert 0 < sum(pieces) < 100
+
+
 def test_repeats_on_edges(spark):
     docs = edge_documents(spark)
     short = [(i, t) for i, t in TEXTS if t != LONG]
