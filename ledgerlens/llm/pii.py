@@ -16,7 +16,9 @@ separators they are written with, and the holder of the key can restore them.
 | ssn | grouped 3-2-4 | all nine digits |
 | date | a day of the calendar since about 1700, ``2024-05-31``, ``31/05/2024`` or ``31.05.2024`` | days of a span of 73,080 days |
 
-Values that fail validation stay as they are.
+Values that fail validation stay as they are, and other values are looked for inside them.
+Restoring needs the same cut: of card numbers among further groups of digits that happen to
+pass the check together with a part of the pseudonym, it may differ.
 
 Defined cases: a null text stays null, an empty one empty; repeated rows get equal results;
 a value never changes its length or its separators.
@@ -42,9 +44,25 @@ PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-])",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
-    "card": r"(?<![\d+])\d(?:[ -]?\d){12,18}(?!\d)",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d\d(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
 }
+_OTHERS = "|".join(PATTERNS.values())
+#: Characters of an IBAN after its check digits, by country.
+_ACCOUNTS = {
+    11: "NO", 12: "BE", 14: "DK FI FO GL NL FK SD", 15: "MK SI", 16: "AT BA EE KZ LT LU XK MN",
+    17: "CH CR HR LI LV", 18: "BG BH DE GB GE IE ME RS VA", 19: "AE GI IL IQ TL OM SO",
+    20: "AD CZ ES MD PK RO SA SE SK TN VG LY DJ BI", 21: "PT ST", 22: "IS TR",
+    23: "FR GR IT MC MR SM", 24: "AL AZ CY DO GT HU LB PL BY SV NI", 25: "BR EG PS QA UA",
+    26: "JO KW MU YE", 27: "MT SC", 29: "LC RU",
+}
+_IBANS = "|".join(
+    rf"(?:{own.replace(' ', '|')})\d\d(?: ?[A-Z0-9]){{{n}}}(?![A-Za-z0-9])" for n, own in _ACCOUNTS.items()
+)
+#: Runs of groups of digits, in which card numbers are looked for; no run enters another value.
+PATTERNS["card"] = rf"(?<![\d+])(?=\d(?:[ -]?\d){{12}})\d++(?:[ -](?!{_OTHERS})\d++){{0,500}}+"
+PATTERNS["iban"] = (
+    rf"(?<![A-Za-z0-9])(?:{_IBANS}|[A-Z]{{2}}\d\d(?: (?!{_IBANS})[A-Z0-9]|[A-Z0-9]){{11,30}}(?![A-Za-z0-9]))"
+)
+INSIDE = "|".join(p for kind, p in PATTERNS.items() if kind != "iban")
 ANY = "|".join(PATTERNS.values())
 #: No value lacks both.
 HINT = "[0-9@]"
@@ -128,6 +146,71 @@ def _luhn_sum(digits: Column, double_last: bool) -> Column:
     return F.aggregate(F.transform(from_right, value), F.lit(0), lambda x, y: x + y)
 
 
+def _is_card(digits: Column) -> Column:
+    return F.length(digits).between(13, 19) & (F.pmod(_luhn_sum(digits, False), F.lit(10)) == 0)
+
+
+def _card_pieces(run: Column) -> Column:
+    """A run of groups of digits cut into card numbers and what is between them. At each group
+    the usual forms come first: 4-4-4-4, undivided, 4-6-5; then any other with 13 to 19 digits,
+    the longest first, that holds no card number in a usual form from a later group on."""
+    usual = ((4, r"^\d{4}( \d{4}){3}$|^\d{4}(-\d{4}){3}$"), (1, r"^\d+$"), (3, r"^\d{4}([ -])\d{6}\1\d{5}$"))
+
+    def cut(tokens: Column) -> Column:
+        n = (F.size(tokens) + 1) / 2
+        places = F.sequence(F.lit(0), n.cast("int") - 1)
+
+        def span(i: Column, k: Column) -> Column:
+            return F.array_join(F.slice(tokens, 2 * i + 1, 2 * k - 1), "")
+
+        def first_usual(i: Column) -> Column:
+            out = F.lit(0)
+            for k, form in reversed(usual):
+                text = span(i, F.lit(k))
+                out = F.when(text.rlike(form) & _is_card(_digits(text)), F.lit(k)).otherwise(out)
+            return out
+
+        def over(known: Column) -> Column:
+            def size(i: Column) -> Column:
+                sizes = F.sequence(F.least(n.cast("int") - i, F.lit(19)), F.lit(1))
+                fits = F.filter(
+                    sizes,
+                    lambda k: _is_card(_digits(span(i, k)))
+                    & ~F.exists(F.slice(known, i + 2, k - 1), lambda x: x > 0),
+                )
+                return F.when(known[i] > 0, known[i]).otherwise(F.coalesce(F.get(fits, F.lit(0)), F.lit(0)))
+
+            def step(state: Column, i: Column) -> Column:
+                def at(k: Column) -> Column:
+                    width = F.greatest(k, F.lit(1))
+                    own = F.array(span(i, width), F.coalesce(F.get(tokens, 2 * (i + width) - 1), F.lit("")))
+                    return F.struct(F.concat(state["out"], own).alias("out"), (i + width).alias("next"))
+
+                return F.when(i < state["next"], state).otherwise(_named(size(i), at))
+
+            start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("next"))
+            return F.aggregate(places, start, step)["out"]
+
+        return _named(F.transform(places, first_usual), over)
+
+    divided = run.rlike(rf"^(?:{PATTERNS['card']})$") & run.rlike("[ -]")
+    return F.when(divided, _named(F.regexp_extract_all(run, F.lit(r"\d+|[ -]"), F.lit(0)), cut)).otherwise(F.array(run))
+
+
+def _pieces(value: Column) -> Column:
+    """A match cut into values and what is between them: an IBAN that fails its check may hold
+    other values, a run of groups of digits card numbers."""
+
+    def inside(text: Column) -> Column:
+        between = F.split(text, INSIDE, -1)
+        found = F.concat(F.regexp_extract_all(text, F.lit(INSIDE), F.lit(0)), F.array(F.lit("")))
+        return F.flatten(F.zip_with(between, found, lambda b, v: F.array(b, v)))
+
+    failed = value.rlike(rf"^(?:{PATTERNS['iban']})$") & ~_is_iban(F.regexp_replace(value, " ", ""))
+    parts = F.when(failed, inside(value)).otherwise(F.array(value))
+    return F.filter(F.flatten(F.transform(parts, _card_pieces)), lambda p: p != "")
+
+
 def _card(text: Column, key: str, inverse: bool) -> Column:
     digits = _digits(text)
     body = F.substr(digits, F.lit(1), F.length(digits) - 1)
@@ -136,8 +219,7 @@ def _card(text: Column, key: str, inverse: bool) -> Column:
         check = F.pmod(-_luhn_sum(moved, True), F.lit(10)).cast("string")
         return _refill(text, F.concat(moved, check), "[0-9]")
 
-    valid = F.pmod(_luhn_sum(digits, False), F.lit(10)) == 0
-    return F.when(valid, _named(_permute_digits(body, key, "card", inverse), with_check)).otherwise(text)
+    return F.when(_is_card(digits), _named(_permute_digits(body, key, "card", inverse), with_check)).otherwise(text)
 
 
 def _phone(text: Column, key: str, inverse: bool) -> Column:
@@ -248,6 +330,10 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(F.split(text, ""), F.lit(0), step)
 
 
+def _is_iban(whole: Column) -> Column:
+    return _mod97(F.concat(F.substr(whole, F.lit(5), F.length(whole) - 4), F.substring(whole, 1, 4))) == 1
+
+
 def _iban(text: Column, key: str, inverse: bool) -> Column:
     whole = F.regexp_replace(text, " ", "")
     country, account = F.substring(whole, 1, 2), F.substr(whole, F.lit(5), F.length(whole) - 4)
@@ -256,8 +342,7 @@ def _iban(text: Column, key: str, inverse: bool) -> Column:
         check = F.lpad((98 - _mod97(F.concat(moved, country, F.lit("00")))).cast("string"), 2, "0")
         return _refill(text, F.concat(country, check, moved), "[A-Z0-9]")
 
-    valid = _mod97(F.concat(account, F.substring(whole, 1, 4))) == 1
-    return F.when(valid, _named(_permute_text(account, key, "iban", inverse), with_check)).otherwise(text)
+    return F.when(_is_iban(whole), _named(_permute_text(account, key, "iban", inverse), with_check)).otherwise(text)
 
 
 CHANGES = {"email": _email, "date": _date, "ssn": _ssn, "ip": _ip, "phone": _phone, "card": _card, "iban": _iban}
@@ -272,16 +357,23 @@ def pseudonym(value: Column, key: str, inverse: bool = False) -> Column:
 
 
 def with_pseudonyms(docs: DataFrame, key: str, text: str, found: str, inverse: bool = False) -> DataFrame:
-    """The text with pseudonyms, and the column ``found``: an array of (value, pseudonym)."""
+    """The text with pseudonyms, and the column ``found``: an array of (value, pseudonym), in
+    which what is between the values of one match stands for itself."""
     body = F.col(text)
     values = F.regexp_extract_all(body, F.lit(ANY), F.lit(0))
-    pairs = F.transform(values, lambda v: F.struct(v.alias("value"), pseudonym(v, key, inverse).alias("pseudonym")))
+    cut = unused([*docs.columns, found], "matches")
+    docs = docs.withColumn(cut, F.when(body.rlike(HINT), F.transform(values, _pieces)))
+    pairs = F.transform(F.flatten(cut), lambda v: F.struct(v.alias("value"), pseudonym(v, key, inverse).alias("pseudonym")))
     none = F.slice(F.array(F.struct(F.lit("").alias("value"), F.lit("").alias("pseudonym"))), 1, 0)
     docs = docs.withColumn(found, F.when(body.rlike(HINT), pairs).otherwise(none))
     between = F.split(body, ANY, -1)
-    rest = F.zip_with(found, F.slice(between, F.lit(2), F.size(found)), lambda p, s: F.concat(p["pseudonym"], s))
+    # The text after a match follows its last piece.
+    after = F.zip_with(
+        cut, F.slice(between, F.lit(2), F.size(cut)), lambda m, s: F.concat(F.array_repeat(F.lit(""), F.size(m) - 1), F.array(s))
+    )
+    rest = F.zip_with(found, F.flatten(after), lambda p, s: F.concat(p["pseudonym"], s))
     whole = F.concat(between[0], F.array_join(rest, ""))
-    return docs.withColumn(text, F.when(F.size(found) > 0, whole).otherwise(body))
+    return docs.withColumn(text, F.when(F.size(found) > 0, whole).otherwise(body)).drop(cut)
 
 
 def pseudonymize(docs: DataFrame, key: str, inverse: bool = False) -> DataFrame:
