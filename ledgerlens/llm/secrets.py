@@ -47,6 +47,8 @@ ESCAPE = re.compile(
 UNIT = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\[uUx]([0-9A-Fa-f]+)")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 URL_SAFE = str.maketrans("-_", "+/")
+#: The shortest secret has 14 characters, the shortest run of base64 16.
+READABLE = re.compile(rb"[\t\n\r\x20-\x7e]{14}")
 EXPANDED_BYTES = 64 << 20
 
 Span = tuple[int, int]
@@ -134,13 +136,42 @@ def unescape(layer: Layer) -> Layer | None:
     return Layer("".join(chars), layer.origin if isinstance(layer.origin, tuple) else origin)
 
 
+def _members(new: Callable) -> Callable[[bytes], bytes]:
+    """Expansion of one or more compressed members, one behind the other; what comes before
+    damage or the end of cut data is kept."""
+
+    def decode(raw: bytes) -> bytes:
+        out, size = [], 0
+        while raw and size < EXPANDED_BYTES:
+            member = new()
+            try:
+                out.append(member.decompress(raw, EXPANDED_BYTES - size))
+            except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
+                break
+            size += len(out[-1])
+            raw = member.unused_data if member.eof else b""
+        return b"".join(out)
+
+    return decode
+
+
 def _zlib(bits: int) -> Callable[[bytes], bytes]:
-    return lambda raw: zlib.decompressobj(bits).decompress(raw, EXPANDED_BYTES)
+    return _members(lambda: zlib.decompressobj(bits))
 
 
 def _zstd(raw: bytes) -> bytes:
-    with zstandard.ZstdDecompressor().stream_reader(raw) as reader:
-        return reader.read(EXPANDED_BYTES)
+    with zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True) as reader:
+        out, size = [], 0
+        while size < EXPANDED_BYTES:
+            try:
+                part = reader.read(min(1 << 20, EXPANDED_BYTES - size))
+            except zstandard.ZstdError:
+                break
+            if not part:
+                break
+            out.append(part)
+            size += len(part)
+        return b"".join(out)
 
 
 #: First bytes of compressed data.
@@ -150,8 +181,8 @@ FORMATS: tuple[tuple[bytes, Callable[[bytes], bytes]], ...] = (
     (b"\x78\x5e", _zlib(15)),
     (b"\x78\x9c", _zlib(15)),
     (b"\x78\xda", _zlib(15)),
-    (b"BZh", lambda raw: bz2.BZ2Decompressor().decompress(raw, EXPANDED_BYTES)),
-    (b"\xfd7zXZ\x00", lambda raw: lzma.LZMADecompressor().decompress(raw, EXPANDED_BYTES)),
+    (b"BZh", _members(bz2.BZ2Decompressor)),
+    (b"\xfd7zXZ\x00", _members(lzma.LZMADecompressor)),
     (b"\x28\xb5\x2f\xfd", _zstd),
 )
 
@@ -174,12 +205,8 @@ def expand(raw: bytes) -> Iterator[bytes]:
 
 
 def _as_text(raw: bytes) -> str | None:
-    """Bytes as text if they read as text throughout."""
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and text.translate({9: 32, 10: 32, 13: 32}).isprintable() else None
+    """Bytes as text, whatever they hold besides, if a secret or a run to decode has room in it."""
+    return raw.decode(errors="replace") if READABLE.search(raw) else None
 
 
 def decoded_runs(layer: Layer) -> Iterator[Layer]:

@@ -168,6 +168,21 @@ def test_secrets_in_layers(hidden):
     assert plain == []
 
 
+@pytest.mark.parametrize(
+    "raw",
+    [
+        ("\ufeff" + SECRET).encode(),
+        ("a\u00a0b\f\u200b\x00\x1b " + SECRET).encode(),
+        b"\xff\xfe " + SECRET.encode(),
+        gzip.compress(b"first of two members") + gzip.compress(SECRET.encode()),
+        zstandard.compress(b"first of two frames") + zstandard.compress(SECRET.encode()),
+    ],
+)
+def test_secrets_beside_other_bytes(raw):
+    spans, _ = secrets.find("Some words. " + base64.b64encode(raw).decode())
+    assert [s[2] for s in spans] == [0]
+
+
 def test_escapes_map_to_places():
     text = "é %73ecret: \\u0061bcdefgh1"
     spans, _ = secrets.find(text)
