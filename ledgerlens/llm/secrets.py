@@ -2,7 +2,8 @@
 
 A text is the first layer of a worklist. Every layer is scanned, then unwrapped: escapes of
 URLs (``%41``) and of Unicode (``\\u0041``, ``\\x41``, ``\\u{41}``) are resolved in place,
-runs of base64 are decoded, and decoded bytes that are compressed (gzip, zlib, bzip2, xz,
+runs of base64, also over several lines, are decoded, and decoded bytes, also of percent
+escapes, that are compressed (gzip, zlib, bzip2, xz,
 zstandard) are expanded. New layers join the list until none is left. A layer whose text
 and origin were seen before is not entered again, so an encoding that yields itself ends.
 
@@ -17,13 +18,13 @@ archives made to exhaust memory; the text before that point is scanned.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import lzma
 import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from urllib.parse import unquote_to_bytes
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -46,6 +47,12 @@ ESCAPE = re.compile(
 )
 UNIT = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\[uUx]([0-9A-Fa-f]+)")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Base64 over several lines, as MIME, PEM and the base64 tool write it.
+WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+BREAKS = re.compile(r"\s+")
+#: Bytes written as percent escapes and unreserved characters; compressed data may begin
+#: with one of the latter.
+PERCENT = re.compile(r"(?:x|BZh[1-9]1AY)?(?:%[0-9A-Fa-f]{2}[A-Za-z0-9_.~/*!'()+-]*)+")
 URL_SAFE = str.maketrans("-_", "+/")
 #: The shortest secret has 14 characters, the shortest run of base64 16.
 READABLE = re.compile(rb"[\t\n\r\x20-\x7e]{14}")
@@ -160,18 +167,18 @@ def _zlib(bits: int) -> Callable[[bytes], bytes]:
 
 
 def _zstd(raw: bytes) -> bytes:
-    with zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True) as reader:
-        out, size = [], 0
-        while size < EXPANDED_BYTES:
+    out, size, at = [], 0, 0
+    while at >= 0 and size < EXPANDED_BYTES:
+        # One frame; the next begins at the next magic number that can be read.
+        with zstandard.ZstdDecompressor().stream_reader(raw[at:]) as reader:
             try:
-                part = reader.read(min(1 << 20, EXPANDED_BYTES - size))
+                while part := reader.read(min(1 << 16, EXPANDED_BYTES - size)):
+                    out.append(part)
+                    size += len(part)
             except zstandard.ZstdError:
-                break
-            if not part:
-                break
-            out.append(part)
-            size += len(part)
-        return b"".join(out)
+                pass
+        at = raw.find(b"\x28\xb5\x2f\xfd", at + 4)
+    return b"".join(out)
 
 
 #: First bytes of compressed data.
@@ -209,20 +216,45 @@ def _as_text(raw: bytes) -> str | None:
     return raw.decode(errors="replace") if READABLE.search(raw) else None
 
 
+def _data(raw: bytes) -> Iterator[bytes]:
+    """The data and what is compressed in it, from whatever place on."""
+    yield raw
+    view = memoryview(raw)
+    for magic, _ in FORMATS:
+        at = raw.find(magic)
+        while at >= 0:
+            layers = expand(bytes(view[at:]))
+            next(layers)
+            yield from layers
+            at = raw.find(magic, at + 1)
+
+
+def _raw_runs(text: str) -> Iterator[tuple[Span, bytes]]:
+    """Bytes that runs of a text may stand for. What precedes a run of base64 in its
+    characters (a path, a word) shifts it, so each is read at all four alignments."""
+    runs = [(m.span(), m[0]) for m in BASE64.finditer(text)]
+    runs += [(m.span(), BREAKS.sub("", m[0])) for m in WRAPPED.finditer(text)]
+    for span, run in runs:
+        run = run.rstrip("=").translate(URL_SAFE)
+        for shift in range(4):
+            own = run[shift:]
+            if len(own) % 4 == 1:
+                own = own[:-1]
+            yield span, base64.b64decode(own + "=" * (-len(own) % 4))
+    if "%" in text:
+        for m in PERCENT.finditer(text):
+            yield m.span(), unquote_to_bytes(m[0])
+            if "+" in m[0]:
+                yield m.span(), unquote_to_bytes(m[0].replace("+", " "))
+
+
 def decoded_runs(layer: Layer) -> Iterator[Layer]:
-    """Layers below the base64 runs of a layer."""
-    for m in BASE64.finditer(layer.text):
-        run = m[0].rstrip("=").translate(URL_SAFE)
-        if len(run) % 4 == 1:
-            continue
-        try:
-            raw = base64.b64decode(run + "=" * (-len(run) % 4))
-        except binascii.Error:
-            continue
-        for data in expand(raw):
+    """Layers below the runs of base64 and of percent escapes of a layer."""
+    for span, raw in _raw_runs(layer.text):
+        for data in _data(raw):
             text = _as_text(data)
             if text is not None:
-                yield Layer(text, layer.span(*m.span()))
+                yield Layer(text, layer.span(*span))
 
 
 def find(text: str | None) -> tuple[list[tuple[int, int, int, int]], int]:

@@ -1,12 +1,15 @@
 """Row-wise operators: quality rules, toxicity, secrets, pseudonyms, decontamination."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import zlib
 from collections import Counter
+from urllib.parse import quote, quote_plus
 
 import numpy as np
 import pytest
@@ -183,6 +186,23 @@ def test_secrets_beside_other_bytes(raw):
     assert [s[2] for s in spans] == [0]
 
 
+NOISE = random.Random(8).randbytes(200).hex()[:300].upper()
+PACKED = [pack((NOISE + " " + SECRET).encode()) for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress)]
+
+
+@pytest.mark.parametrize("raw", [*PACKED, ("x" * 40 + " " + SECRET).encode()])
+def test_secrets_in_usual_forms_of_layers(raw):
+    plain = base64.b64encode(raw).decode()
+    pem = "\n".join(plain[i : i + 64] for i in range(0, len(plain), 64))
+    forms = [base64.encodebytes(raw).decode(), pem, pem.replace("\n", "\r\n"), "/data/" + plain, "x-" + plain, "/" + plain]
+    forms.append(plain.rstrip("=") + "A" * ((1 - len(plain.rstrip("="))) % 4))
+    if raw in PACKED:
+        forms += [quote(raw), quote_plus(raw)]
+    for form in forms:
+        spans, _ = secrets.find("Some words. " + form)
+        assert 0 in [s[2] for s in spans], form
+
+
 def test_escapes_map_to_places():
     text = "é %73ecret: \\u0061bcdefgh1"
     spans, _ = secrets.find(text)
