@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, jaccard, lm, packing, pii, quality, repeats, secrets, toxicity, warc
+from ledgerlens.llm import decontaminate, jaccard, lm, manifest, packing, pii, quality, repeats, secrets, toxicity, warc
 from ledgerlens.llm.common import load
 
 
@@ -102,6 +104,25 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in manifest.FIELDS[:-1]]
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    tampered = F.when(chosen, manifest.leaf_hash(*fields, lowered))
+    rows = manifest.proofs(docs, also={"tampered": tampered})
+    folded = manifest.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    rows = rows.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(manifest.siblings(F.col("path")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    )
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -115,5 +136,6 @@ QUERIES = {
         op8_packing,
         op9_pii,
         op10_decontaminate,
+        op11_manifest,
     )
 }

@@ -113,4 +113,74 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN words USING (r) LEFT JOIN named USING (r)
 """
 
-ORACLES = {"op1_quality": OP1, "op6_warc": OP6, "op7_lm": OP7, "op10_decontaminate": OP10}
+_UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 bytes, bit by bit."""
+    code = f"hex(encode({text}))"
+    digit = "instr('0123456789ABCDEF', {0}[{1}]) - 1"
+    byte = f"(16 * ({digit.format(code, '2 * p - 1')}) + {digit.format(code, '2 * p')})::BIGINT"
+    octets = f"list_transform(range(1, strlen({text}) + 1), lambda p: {byte})"
+    turn = "list_reduce([xor(c, o), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    step = f"xor(c >> 8, {turn.replace('xor(c, o)', 'xor(c, o) & 255')})"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda c, o: {step}), 4294967295)"
+
+
+def _tree(name: str, levels: int) -> str:
+    """Tables ``{name}0`` (tree, rank, h, c) up to the top; ``{name}s{k}`` adds a node's siblings."""
+    parts = []
+    for k in range(levels):
+        run = f"PARTITION BY tree, rank // 8 ORDER BY rank ROWS BETWEEN"
+        parts.append(f"""{name}s{k} AS (
+    SELECT *, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+           coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k}
+), {name}{k + 1} AS (
+    SELECT tree, rank // 8 AS rank, count(*) OVER (PARTITION BY tree) AS c,
+           CASE WHEN any_value(c) > 1 THEN sha256(string_agg(h, '' ORDER BY rank)) ELSE any_value(h) END AS h
+    FROM {name}{k} GROUP BY tree, rank // 8
+)""")
+    return ", ".join(parts)
+
+
+def _climb(name: str, levels: int, start: str, rank: str, tree: str, keep: str) -> str:
+    """Folds ``f`` and gathers ``p`` from the table ``start`` up the levels of a tree."""
+    parts, now = [], start
+    for k in range(levels):
+        parts.append(f"""{name}f{k} AS (
+    SELECT {keep}, p || l || r AS p, CASE WHEN c > 1 THEN sha256(l || f || r) ELSE f END AS f
+    FROM {now} JOIN {name}s{k} s ON s.tree = {now}.{tree} AND s.rank = {now}.{rank} // {8**k}
+)""")
+        now = f"{name}f{k}"
+    return ", ".join(parts)
+
+
+#: Up to 8^5 documents of a language and 8^2 languages.
+OP11 = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS id, doc_id, coalesce('=' || lang, '') AS name, text,
+           concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'),
+                  coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+                  coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head,
+           coalesce({_crc32("doc_id::VARCHAR")} % 3 = 0, false) AS chosen FROM documents
+), hashed AS (
+    SELECT id, doc_id, name, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+           CASE WHEN chosen THEN sha256(head || coalesce(strlen(text) || ':' || translate(text, {_UPPER}), '-'))
+                END AS tampered FROM d
+), leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM hashed
+), a0 AS (
+    SELECT name AS tree, place AS rank, leaf AS h, count(*) OVER (PARTITION BY name) AS c FROM leaves
+), {_tree("a", 5)}, b0 AS (
+    SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS rank, h, count(*) OVER () AS c, tree AS name FROM a5
+), {_tree("b", 2)}, start AS (
+    SELECT id, doc_id, leaf, name, place, '' AS p, coalesce(tampered, leaf) AS f FROM leaves
+), {_climb("a", 5, "start", "place", "name", "id, doc_id, leaf, name, place")}, middle AS (
+    SELECT id, doc_id, leaf, p, f, b0.rank AS place, b0.tree AS top, b0.h AS subroot
+    FROM af4 JOIN b0 ON b0.name = af4.name
+), {_climb("b", 2, "middle", "place", "top", "id, doc_id, leaf, subroot, place, top")}
+SELECT doc_id, leaf, subroot, b2.h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = b2.h AS verified
+FROM bf1, b2
+"""
+
+ORACLES = {"op1_quality": OP1, "op6_warc": OP6, "op7_lm": OP7, "op10_decontaminate": OP10, "op11_manifest": OP11}
