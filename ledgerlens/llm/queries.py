@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, jaccard, lm, manifest, packing, pii, quality, repeats, secrets, toxicity, warc
+from ledgerlens.llm import decontaminate, jaccard, lm, manifest, packing, pii, quality, repeats, secrets, spelling, toxicity, warc
 from ledgerlens.llm.common import load
 
 
@@ -123,6 +123,10 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -137,5 +141,6 @@ QUERIES = {
         op9_pii,
         op10_decontaminate,
         op11_manifest,
+        op12_spelling,
     )
 }

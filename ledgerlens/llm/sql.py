@@ -183,4 +183,41 @@ SELECT doc_id, leaf, subroot, b2.h AS root, sha256(p) AS proof_sha256, f AS fold
 FROM bf1, b2
 """
 
-ORACLES = {"op1_quality": OP1, "op6_warc": OP6, "op7_lm": OP7, "op10_decontaminate": OP10, "op11_manifest": OP11}
+OP12 = f"""
+WITH RECURSIVE runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS named, run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_UPPER}),
+              '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents) GROUP BY ALL
+), hashed AS (
+    SELECT run, n, {_crc32("named")} AS h FROM runs
+), kept AS (
+    SELECT CASE WHEN h % 97 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n
+    FROM hashed
+), words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM kept WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS (
+    SELECT word, n, i, word[1:i] || word[i + 2:] AS rest
+    FROM (SELECT *, unnest(range(0, length(word))) AS i FROM words)
+), near AS (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word
+    UNION SELECT a.word, a.n, b.word, b.n FROM words a JOIN cut b ON b.rest = a.word
+    UNION SELECT b.word, b.n, a.word, a.n FROM words a JOIN cut b ON b.rest = a.word
+), counts AS (
+    SELECT word, count(*) AS n_near FROM near GROUP BY word
+), best AS (
+    SELECT word, other AS form, other_n AS form_n,
+           row_number() OVER (PARTITION BY word ORDER BY other_n DESC, encode(other)) AS place
+    FROM near WHERE other_n >= 2 * n
+), forms AS (
+    SELECT word, form, form_n FROM best WHERE place = 1
+), ways AS (
+    SELECT word, word AS last FROM words
+    UNION ALL SELECT w.word, f.form FROM ways w JOIN forms f ON f.word = w.last
+), ends AS (
+    SELECT w.word, w.last AS root FROM ways w WHERE w.last NOT IN (SELECT word FROM forms)
+)
+SELECT word, form, root, n, coalesce(n_near, 0) AS n_near, form_n
+FROM words LEFT JOIN forms USING (word) LEFT JOIN counts USING (word) JOIN ends USING (word)
+"""
+
+ORACLES = {"op1_quality": OP1, "op6_warc": OP6, "op7_lm": OP7, "op10_decontaminate": OP10, "op11_manifest": OP11, "op12_spelling": OP12}
