@@ -7,7 +7,21 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, jaccard, lm, manifest, packing, pii, quality, repeats, secrets, spelling, toxicity, warc
+from ledgerlens.llm import (
+    decontaminate,
+    extraction,
+    jaccard,
+    lm,
+    manifest,
+    packing,
+    pii,
+    quality,
+    repeats,
+    secrets,
+    spelling,
+    toxicity,
+    warc,
+)
 from ledgerlens.llm.common import load
 
 
@@ -127,6 +141,11 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(load(spark, sf_dir, "documents"))
 
 
+def op13_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = extraction.extract(load(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -142,5 +161,6 @@ QUERIES = {
         op10_decontaminate,
         op11_manifest,
         op12_spelling,
+        op13_extraction,
     )
 }

@@ -220,4 +220,22 @@ SELECT word, form, root, n, coalesce(n_near, 0) AS n_near, form_n
 FROM words LEFT JOIN forms USING (word) LEFT JOIN counts USING (word) JOIN ends USING (word)
 """
 
-ORACLES = {"op1_quality": OP1, "op6_warc": OP6, "op7_lm": OP7, "op10_decontaminate": OP10, "op11_manifest": OP11, "op12_spelling": OP12}
+#: The given pages hold their main text in one article element of headings and paragraphs.
+OP13 = r"""
+WITH a AS (
+    SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'),
+                                        '\s+', ' ', 'g') AS inside FROM pages
+), b AS (
+    SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(inside,
+               '</?(p|h1)>', chr(10), 'g'), '<br>', ' ', 'g'), '<[^>]*>', '', 'g') AS lines FROM a
+), c AS (
+    SELECT page_id, url, replace(replace(replace(replace(lines, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'),
+                                 '&#x27;', chr(39)) AS lines FROM b
+), d AS (
+    SELECT page_id, url, array_to_string(list_filter(list_transform(string_split(regexp_replace(lines, '&amp;?', '&', 'g'),
+               chr(10)), lambda x: trim(x)), lambda x: x <> ''), chr(10)) AS text FROM c
+)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM d
+"""
+
+ORACLES = {"op1_quality": OP1, "op6_warc": OP6, "op7_lm": OP7, "op10_decontaminate": OP10, "op11_manifest": OP11, "op12_spelling": OP12, "op13_extraction": OP13}
