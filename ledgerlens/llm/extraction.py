@@ -244,7 +244,7 @@ class _Composer:
 
     def part(self, semantic: str, inside: str, *names: str) -> str:
         """A part of the page, by its own element or as a named block."""
-        if self.semantic and (self.short or self.some(0.8)):
+        if self.semantic and self.some(0.8):
             return self.named(semantic, inside, *names) if self.some(0.5) else f"<{semantic}>{inside}</{semantic}>"
         return self.named(self.pick("div", "div", "section"), inside, *names)
 
@@ -264,11 +264,11 @@ class _Composer:
             out += "<br>"
         return out
 
-    def article(self) -> str:
+    def article(self, m: str = _MARK) -> str:
         """Title and body; every block of it is marked."""
-        m, out = _MARK, []
+        out = []
         block = self.pick("p", "p", "p", "p", "div")
-        for _ in range(1 if self.short else self.rng.choice([1, 1, 2, 3, 4, 6, 9, 14])):
+        for _ in range(self.rng.choice([1, 1, 2, 3, 4, 6, 9, 14])):
             roll = self.rng.random()
             if roll < 0.74:
                 end = "" if block == "p" and self.some(0.2) else f"</{block}>"
@@ -389,12 +389,36 @@ class _Composer:
         line = self.pick(line, f"<p>{line}</p>", f"{self.links(2, 6)}<p>{line}</p>", f"<p>{line}</p>{self.teaser()}")
         return self.part("footer", line, "footer", "site-footer", "copyright", "legal", "colophon")
 
+    def alike(self) -> str:
+        """A page whose parts hold the same and come in any order: names alone tell them apart."""
+        self.semantic, self.speaks = True, True
+        inside = lambda: self.pick(
+            self.article(""), self.links(), escape(self.prose()), escape(self.label()), f"<p>{escape(self.prose())}</p>",
+            f"&copy; {escape(self.label())} &middot; {escape(self.prose())}",
+        )
+        parts = [
+            f"<{element}>{inside()}</{element}>" for element in ("nav", "header", "footer", "aside") if self.some(0.7)
+        ]
+        for names in (("ad", "advert", "banner", "sponsored"), ("comments", "comment-list"), ("cookie-notice", "consent"),
+                      ("related", "popular"), ("sidebar", "widgets"), ("menu", "breadcrumb"), ("share", "social"),
+                      ("footer", "copyright"), ("newsletter", "login")):
+            if self.some(0.25):
+                parts.append(self.named(self.pick("div", "section"), inside(), *names))
+        if self.some(0.2):
+            parts.append(self.form())
+        names = ("content", "post", "entry-content", "article-body", "story")
+        element = self.pick("article", "article", "main", "div")
+        text = self.article()
+        if self.some(0.15):
+            text += parts.pop() if parts else ""
+        parts.append(self.named(element, text, *names) if element == "div" else f"<{element}>{text}</{element}>")
+        self.rng.shuffle(parts)
+        return "".join(parts)
+
     def page(self) -> str:
+        if self.some(0.35):
+            return self.alike()
         self.semantic, self.speaks = self.some(0.7), self.some(0.9)
-        # A line of main text amid parts that say much and are known by their elements alone.
-        self.short = self.some(0.3)
-        if self.short:
-            self.semantic = True
         inside = ""
         if self.some(0.94):
             inside = self.article()
