@@ -22,15 +22,20 @@ def fold_plain(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", text) if unicodedata.category(c) != "Mn")
 
 
-# Precomposed Hangul: composed by a rule of its own and never compared decomposed here.
+# Precomposed Hangul: its letters follow from the code point, by the standard's arithmetic.
 _HANGUL = range(0xAC00, 0xD7A4)
+_LEADS, _VOWELS, _TAILS = range(0x1100, 0x1113), range(0x1161, 0x1176), range(0x11A8, 0x11C3)
+#: Blocks with compatibility characters or marks; the last three lie beyond U+FFFF.
+_FOLDED = (
+    range(0x80, 0xD800), range(0xF900, 0x10000), range(0x10000, 0x20000), range(0x2F800, 0x2FA20), range(0xE0100, 0xE01F0)
+)
 
 
 def _fold_tables() -> tuple[str, str, dict[str, str]]:
     """Arguments of ``translate`` for characters that fold to one or none, and a table of
     those that fold to several, ligatures and fractions for example."""
     single, several, marks = [], {}, []
-    for code in chain(range(0x80, 0xD800), range(0xF900, 0x10000)):
+    for code in chain(*_FOLDED):
         char = chr(code)
         plain = fold_plain(char)
         if code in _HANGUL or plain == char:
@@ -46,24 +51,48 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
 
 
 _ACCENTED, _PLAIN, _SEVERAL = _fold_tables()
-_HAS_SEVERAL = "[" + "".join(_SEVERAL) + "]"
 
 
 def _expanded(text: Column) -> Column:
     # One literal: a map of as many columns would make every plan long.
     table = F.from_json(F.lit(json.dumps(_SEVERAL)), "map<string,string>")
-    chars = F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c))
-    return F.when(F.rlike(text, F.lit(_HAS_SEVERAL)), F.array_join(chars, "")).otherwise(text)
+
+    def letters(block: range, place: Column) -> Column:
+        return F.get(F.split(F.lit("".join(map(chr, block))), ""), place.cast("int"))
+
+    def one(char: Column) -> Column:
+        code = F.ascii(char)
+        place = code - _HANGUL.start
+        syllable = F.concat(
+            letters(_LEADS, F.floor(place / (len(_VOWELS) * (len(_TAILS) + 1)))),
+            letters(_VOWELS, F.floor(place / (len(_TAILS) + 1)) % len(_VOWELS)),
+            F.coalesce(F.when(place % (len(_TAILS) + 1) > 0, letters(_TAILS, place % (len(_TAILS) + 1) - 1)), F.lit("")),
+        )
+        return (
+            F.when(code < 0x80, char)
+            .when(code.between(_HANGUL.start, _HANGUL.stop - 1), syllable)
+            .otherwise(F.coalesce(F.try_element_at(table, char), char))
+        )
+
+    return F.array_join(F.transform(F.split(text, ""), one), "")
+
+
+def _is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
 
 
 def fold_text(text: Column) -> Column:
     """Lower case without accents; NULL becomes the empty text.
 
-    Plain ASCII values, the usual case, skip the character table: they are the
-    ones whose byte and character counts agree.
+    Plain ASCII values, the usual case, skip the character table, and values that are plain
+    once their accents are gone skip the table of characters that fold to several.
     """
-    bare = _expanded(F.translate(text, _ACCENTED, _PLAIN))
-    folded = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.lower(bare))
+    bare = F.translate(text, _ACCENTED, _PLAIN)
+    folded = (
+        F.when(_is_ascii(text), F.lower(text))
+        .when(_is_ascii(bare), F.lower(bare))
+        .otherwise(F.lower(_expanded(bare)))
+    )
     return F.coalesce(folded, F.lit(""))
 
 

@@ -26,6 +26,10 @@ LINE_ORDER = [
 ]
 
 
+#: Syllables, ligatures, fractions and letters beyond the first plane.
+SCRIPTS = " 한글 각 ﬁn ½ 𝐀𝔘 É"
+
+
 def events(spark, sf):
     return classify(A.event_ledger(spark, sf), A.EVENT_RULES)
 
@@ -190,6 +194,7 @@ def catalogue() -> dict[str, Query]:
         "fold_text": _texts(
             "folded", lambda: F.concat(F.col("description"), F.lit(" ÁÉÍÓÚ Ñandú Über")), X.fold_text
         ),
+        "fold_scripts": _texts("folded", lambda: F.concat(F.col("description"), F.lit(SCRIPTS)), X.fold_text),
         "enriched_bets": _enriched,
         "modo_movements": _modo_movements,
         "daily_rollup": _rollup,

@@ -64,6 +64,11 @@ def test_folding_other_scripts(spark):
     assert got == plain
 
 
+def test_folding_syllables_and_letters_beyond_the_first_plane(spark):
+    texts = ["한글 각 뷁 가", "𝐀𝛀 ①ﬁ 한", "丽 𝔘ber 🄐", "é\U000E0100x", "힣 ½ ñ", "日本語"]
+    assert apply(spark, X.fold_text, *texts) == [X.fold_plain(t).lower() for t in texts]
+
+
 def test_short_years_and_half_days(spark):
     got = apply(
         spark, X.dayfirst_ts, "05/07/25 10:00", "05/07/85", "5/7/2025 1:30:00 PM", "05/07/2025 12:15 a. m.",
