@@ -369,8 +369,8 @@ def oracles() -> dict[str, str]:
         "fold_text": _EVENTS + """, x AS (SELECT tx_id, description || ' ÁÉÍÓÚ Ñandú Über' AS text FROM led)
           SELECT tx_id, text, lower(strip_accents(text)) AS folded FROM x""",
         "fold_scripts": _EVENTS + """SELECT tx_id, description || ' 한글 각 ﬁn ½ 𝐀𝔘 É' AS text,
-          lower(strip_accents(description)) || ' ' || list_reduce(list_transform([0x1112, 0x1161, 0x11AB, 0x1100, 0x1173,
-            0x11AF, 32, 0x1100, 0x1161, 0x11A8], lambda c: chr(c)), lambda a, b: a || b) || ' fin 1' || chr(0x2044)
+          lower(strip_accents(description)) || ' ' || list_reduce(list_transform([4370, 4449, 4523, 4352, 4467,
+            4527, 32, 4352, 4449, 4520], lambda c: chr(c)), lambda a, b: a || b) || ' fin 1' || chr(8260)
             || '2 au e' AS folded FROM led""",
         "enriched_bets": EU + """SELECT ts AS "Fecha", doc_id AS "Documento", username AS "Usuario",
           email AS "Correo", game AS "Juego", CAST(amount AS DOUBLE) AS "Importe"

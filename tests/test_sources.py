@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ledgerlens.plans.bundle import write_reports
 from ledgerlens.schema import LEDGER
+from ledgerlens.sources import ledger as ledger_module
 from ledgerlens.sources.ledger import LedgerStore
 from ledgerlens.sources.manifest import list_files, load_manifest, pending_files, save_manifest, upsert_manifest
 from ledgerlens.sources.registry import read_readings, read_users, resolve_users
@@ -276,3 +277,68 @@ def test_bundle_takes_each_reading_of_the_registry(spark, tmp_path, ledger):
     assert [r["Usuario"] for r in table("apuestas_con_usuarios").collect()] == ["new"]
     assert {r["KPI"]: r["Valor"] for r in table("kpis").collect()}["Total Usuarios Registrados"] == 1
     assert "_work" not in table("kpis").inputFiles()[0]
+
+
+def test_an_ingest_reads_only_the_months_and_buckets_of_its_keys(spark, tmp_path):
+    store = LedgerStore(spark, str(tmp_path), key_buckets=4)
+    book = [movement(i, f"2025-0{1 + i % 3}-01", "A", 1, "x", i) for i in range(30)]
+    store.upsert(spark.createDataFrame(book, LEDGER))
+    before = store._state()
+    assert before.key_buckets == 4 and set(before.keys.values()) == {1}
+    moved = spark.createDataFrame([movement(3, "2025-02-01", "B", 1, "x", 7)], LEDGER)
+    bucket = moved.selectExpr("pmod(xxhash64(cast(tx_id as string)), 4) as b").first()["b"]
+    # Whatever else an ingest might read is broken: the month it does not touch, the other buckets.
+    broken = [*(tmp_path / "data" / "v=1" / "month=2025-03").glob("*.parquet")]
+    for b in set(range(4)) - {bucket}:
+        broken += (tmp_path / "keys" / "v=1" / f"bucket={b}").glob("*.parquet")
+    assert len(broken) >= 3
+    kept = {path: path.read_bytes() for path in broken}
+    for path in broken:
+        path.write_bytes(b"broken")
+        crc = path.with_name(f".{path.name}.crc")
+        kept[crc] = crc.read_bytes()
+        crc.write_bytes(b"")
+    assert LedgerStore(spark, str(tmp_path)).upsert(moved) == 2
+    for path, content in kept.items():
+        path.write_bytes(content)
+    after = store._state()
+    assert after.key_buckets == 4 and {b for b, v in after.keys.items() if v == 2} == {bucket}
+    assert after.months == {"2025-01": 2, "2025-02": 2, "2025-03": 1}
+    found = {r["tx_id"]: (r["movement_type"], r["month"]) for r in store.read().collect()}
+    assert len(found) == 30 and found[3] == ("B", "2025-02") and found[6] == ("A", "2025-01")
+    # The index follows the moved row: its next change finds it in its new month.
+    store.upsert(spark.createDataFrame([movement(3, "2025-03-01", "C", 1, "x", 7)], LEDGER))
+    assert [(r["movement_type"], r["month"]) for r in store.read().where("tx_id = 3").collect()] == [("C", "2025-03")]
+
+
+def test_a_ledger_without_an_index_of_keys_gets_one(spark, tmp_path):
+    store = LedgerStore(spark, str(tmp_path))
+    store.upsert(spark.createDataFrame([movement(i, "2025-01-01", "A", 1, "x", i) for i in range(5)], LEDGER))
+    old = spark.createDataFrame([("2025-01", 1, 2)], "month string, data_version int, v int")
+    old.drop("v").write.parquet(str(tmp_path / "index" / "v=2"))
+    assert store._state().keys == {}
+    store.upsert(spark.createDataFrame([movement(1, "2025-02-01", "B", 1, "x", 1)], LEDGER))
+    assert sorted((r["tx_id"], r["month"]) for r in store.read().collect()) == [
+        (0, "2025-01"), (1, "2025-02"), (2, "2025-01"), (3, "2025-01"), (4, "2025-01")
+    ]
+    assert len(store._state().keys) == 16
+
+
+def test_files_come_in_batches_and_their_buckets_alone_are_written(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "in")
+    os.mkdir(folder)
+    monkeypatch.setattr(ledger_module, "BATCH_FILES", 2)
+    store = LedgerStore(spark, str(tmp_path / "ledger"))
+    for k, name in enumerate("abcde"):
+        put(folder, f"{name}.csv", f"1;01/01/2025;{name};1;x;1", f"{10 + k};01/01/2025;{name};1;x;1")
+    read = store.ingest_files(folder)
+    assert sorted(r[0] for r in rows(read)) == ["a.csv", "b.csv", "c.csv", "d.csv", "e.csv"]
+    assert store.version() == 3
+    # Later names win, over the batches as within one.
+    assert [r["movement_type"] for r in store.read().where("tx_id = 1").collect()] == ["e"]
+    before = store._state().files
+    put(folder, "c.csv", "1;01/01/2025;new;1;x;1", mtime=1_900_000_000)
+    assert store.ingest(folder) == ["c.csv"] and store.ingest(folder) == []
+    changed = {b for b, v in store._state().files.items() if v == 4}
+    assert len(changed) == 1 and {b: v for b, v in store._state().files.items() if b not in changed}.items() <= before.items()
+    assert len(rows(store.manifest())) == 5
