@@ -48,7 +48,7 @@ def fit(rows: np.ndarray, labels: np.ndarray, p: Boosting = Boosting()) -> Fores
     inner, leaves = 2**p.depth - 1, 2**p.depth
     empty = Forest(0.0, np.zeros((0, inner), np.int64), np.zeros((0, inner)), np.zeros((0, leaves)))
     share = float(labels.mean()) if n else 0.5
-    if not 0.0 < share < 1.0:
+    if not n or not 0.0 < share < 1.0:
         # One class, or nothing, to learn from.
         empty.bias = 0.0 if not n else (40.0 if share else -40.0)
         return empty

@@ -78,7 +78,8 @@ def vocabulary(docs: DataFrame, p: Params = Params()) -> DataFrame:
         chars = 0
 
         def handed_on() -> pd.DataFrame:
-            return pd.DataFrame({"word": list(total), "n": list(total.values())})
+            words = pd.Series(list(total), dtype=object)
+            return pd.DataFrame({"word": words, "n": list(total.values())})
 
         for part in parts:
             for doc_id, text in zip(part["id"], part["text"], strict=True):
@@ -255,7 +256,8 @@ def near_words(words: DataFrame, p: Params = Params()) -> DataFrame:
                 out.extend(_bucket_answers(names, counts, length, first, past, ratio))
 
         def frame():
-            return pd.DataFrame(out, columns=["word", "n", "n_near", "form_n", "form"]).astype({"form_n": "Int64"})
+            rows = pd.DataFrame(out, columns=["word", "n", "n_near", "form_n", "form"], dtype=object)
+            return rows.astype({"n": "int64", "n_near": "int64", "form_n": "Int64"})
 
         for part in parts:
             columns = (part[c].to_numpy().tolist() for c in (*_KEY, "word", "n"))
