@@ -48,7 +48,10 @@ ESCAPE = re.compile(
 UNIT = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\[uUx]([0-9A-Fa-f]+)")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 #: Base64 over several lines, as MIME, PEM and the base64 tool write it.
-WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+#: A run is entered at its first character only and never given back: one pass over a text.
+WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}"
+)
 BREAKS = re.compile(r"\s+")
 #: Bytes written as percent escapes and unreserved characters; compressed data may begin
 #: with one of the latter.
@@ -57,6 +60,8 @@ URL_SAFE = str.maketrans("-_", "+/")
 #: The shortest secret has 14 characters, the shortest run of base64 16.
 READABLE = re.compile(rb"[\t\n\r\x20-\x7e]{14}")
 EXPANDED_BYTES = 64 << 20
+#: Compressed bytes handed to a decoder at once.
+FED_BYTES = 1 << 16
 
 Span = tuple[int, int]
 
@@ -143,31 +148,45 @@ def unescape(layer: Layer) -> Layer | None:
     return Layer("".join(chars), layer.origin if isinstance(layer.origin, tuple) else origin)
 
 
-def _members(new: Callable) -> Callable[[bytes], bytes]:
+#: From bytes to what they expand to; notes where members after the first begin.
+Decoder = Callable[[memoryview, list[int]], bytes]
+
+
+def _members(new: Callable) -> Decoder:
     """Expansion of one or more compressed members, one behind the other; what comes before
-    damage or the end of cut data is kept."""
+    damage or the end of cut data is kept. Data is fed in parts, so that what follows a member
+    is never copied as a whole."""
 
-    def decode(raw: bytes) -> bytes:
-        out, size = [], 0
-        while raw and size < EXPANDED_BYTES:
-            member = new()
+    def decode(raw: memoryview, starts: list[int]) -> bytes:
+        out, size, at, member = [], 0, 0, new()
+        while at < len(raw) and size < EXPANDED_BYTES:
+            part = raw[at : at + FED_BYTES]
             try:
-                out.append(member.decompress(raw, EXPANDED_BYTES - size))
+                while True:
+                    out.append(member.decompress(part, EXPANDED_BYTES - size))
+                    size += len(out[-1])
+                    # What a limit on the output held back comes first.
+                    part = getattr(member, "unconsumed_tail", b"")
+                    if not part or member.eof or size >= EXPANDED_BYTES:
+                        break
             except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
                 break
-            size += len(out[-1])
-            raw = member.unused_data if member.eof else b""
+            at += FED_BYTES
+            if member.eof:
+                at = min(at, len(raw)) - len(member.unused_data)
+                starts.append(at)
+                member = new()
         return b"".join(out)
 
     return decode
 
 
-def _zlib(bits: int) -> Callable[[bytes], bytes]:
+def _zlib(bits: int) -> Decoder:
     return _members(lambda: zlib.decompressobj(bits))
 
 
-def _zstd(raw: bytes) -> bytes:
-    out, size, at = [], 0, 0
+def _zstd(raw: memoryview, starts: list[int]) -> bytes:
+    out, size, at, whole = [], 0, 0, b""
     while at >= 0 and size < EXPANDED_BYTES:
         # One frame; the next begins at the next magic number that can be read.
         with zstandard.ZstdDecompressor().stream_reader(raw[at:]) as reader:
@@ -177,12 +196,16 @@ def _zstd(raw: bytes) -> bytes:
                     size += len(part)
             except zstandard.ZstdError:
                 pass
-        at = raw.find(b"\x28\xb5\x2f\xfd", at + 4)
+        if not size:
+            break
+        whole = whole or bytes(raw)
+        at = whole.find(b"\x28\xb5\x2f\xfd", at + 4)
+        starts.append(at)
     return b"".join(out)
 
 
 #: First bytes of compressed data.
-FORMATS: tuple[tuple[bytes, Callable[[bytes], bytes]], ...] = (
+FORMATS: tuple[tuple[bytes, Decoder], ...] = (
     (b"\x1f\x8b", _zlib(31)),
     (b"\x78\x01", _zlib(15)),
     (b"\x78\x5e", _zlib(15)),
@@ -200,15 +223,10 @@ def expand(raw: bytes) -> Iterator[bytes]:
     while raw not in seen:
         seen.add(raw)
         yield raw
-        for magic, decode in FORMATS:
-            if raw.startswith(magic):
-                try:
-                    raw = decode(raw)
-                except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
-                    return
-                break
-        else:
+        decode = next((d for magic, d in FORMATS if raw.startswith(magic)), None)
+        if decode is None:
             return
+        raw = decode(memoryview(raw), [])
 
 
 def _as_text(raw: bytes) -> str | None:
@@ -217,15 +235,18 @@ def _as_text(raw: bytes) -> str | None:
 
 
 def _data(raw: bytes) -> Iterator[bytes]:
-    """The data and what is compressed in it, from whatever place on."""
+    """The data and what is compressed in it, from whatever place on. Members read behind
+    another are not read again from their own place."""
     yield raw
     view = memoryview(raw)
-    for magic, _ in FORMATS:
-        at = raw.find(magic)
+    for magic, decode in FORMATS:
+        at, read = raw.find(magic), set()
         while at >= 0:
-            layers = expand(bytes(view[at:]))
-            next(layers)
-            yield from layers
+            if at not in read:
+                starts: list[int] = []
+                if inside := decode(view[at:], starts):
+                    yield from expand(inside)
+                read.update(at + start for start in starts)
             at = raw.find(magic, at + 1)
 
 
