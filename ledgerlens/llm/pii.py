@@ -37,9 +37,11 @@ from ledgerlens.llm.common import unused
 PRODUCTION_KEY = "pseudonyms-1"
 ROUNDS = 8
 
+# A domain has 127 labels at most; a repeat without that bound makes the matcher recurse as
+# deep as a text has labels.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![A-Za-z0-9-])",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.){1,127}[A-Za-z]{2,}(?![A-Za-z0-9-])",
     "date": r"(?<![\d./-])(?:\d{4}-\d\d-\d\d|\d\d/\d\d/\d{4}|\d\d\.\d\d\.\d{4})(?![\d/-]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-])",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
@@ -58,12 +60,14 @@ _IBANS = "|".join(
     rf"(?:{own.replace(' ', '|')})\d\d(?: ?[A-Z0-9]){{{n}}}(?![A-Za-z0-9])" for n, own in _ACCOUNTS.items()
 )
 #: Runs of groups of digits, in which card numbers are looked for; no run enters another value.
-PATTERNS["card"] = rf"(?<![\d+])(?=\d(?:[ -]?\d){{12}})\d++(?:[ -](?!{_OTHERS})\d++){{0,500}}+"
+PATTERNS["card"] = rf"(?<![\d+])(?=\d(?:[ -]?\d){{12}})\d++(?:[ -](?!{_OTHERS})\d++)*+"
 PATTERNS["iban"] = (
     rf"(?<![A-Za-z0-9])(?:{_IBANS}|[A-Z]{{2}}\d\d(?: (?!{_IBANS})[A-Z0-9]|[A-Z0-9]){{11,30}}(?![A-Za-z0-9]))"
 )
 INSIDE = "|".join(p for kind, p in PATTERNS.items() if kind != "iban")
 ANY = "|".join(PATTERNS.values())
+#: Groups of a run of digits that are put together at once.
+RUN_BLOCK = 200
 #: No value lacks both.
 HINT = "[0-9@]"
 #: Days of one span of dates: 261 times 280 of them from 1900 on make the years up to 2100.
@@ -188,8 +192,19 @@ def _card_pieces(run: Column) -> Column:
 
                 return F.when(i < state["next"], state).otherwise(_named(size(i), at))
 
-            start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("next"))
-            return F.aggregate(places, start, step)["out"]
+            # Block by block: an array that grows by a piece at a time is copied each time.
+            def block(state: Column, first: Column) -> Column:
+                own = F.sequence(first, F.least(first + RUN_BLOCK, n.cast("int")) - 1)
+                start = F.struct(F.array().cast("array<string>").alias("out"), state["next"].alias("next"))
+
+                def joined(done: Column) -> Column:
+                    return F.struct(F.concat(state["out"], F.array(done["out"])).alias("out"), done["next"].alias("next"))
+
+                return _named(F.aggregate(own, start, step), joined)
+
+            firsts = F.sequence(F.lit(0), n.cast("int") - 1, F.lit(RUN_BLOCK))
+            start = F.struct(F.array().cast("array<array<string>>").alias("out"), F.lit(0).alias("next"))
+            return F.flatten(F.aggregate(firsts, start, block)["out"])
 
         return _named(F.transform(places, first_usual), over)
 
