@@ -253,7 +253,8 @@ def _cut(text: str, runs: list) -> str:
 
 def remove(docs: DataFrame, benchmark: DataFrame, limits: Limits = Limits(), window: int = WINDOW) -> DataFrame:
     """The documents, all their columns: hit runs of at least ``min_words`` words cut out
-    of the text, documents above ``max_share`` gone. ``n_chars`` follows the text. Rows
+    of the text, and runs shorter than the window, which are whole short items; documents
+    above ``max_share`` gone. ``n_chars`` follows the text. Rows
     without a hit stay as they are."""
     name = unused(docs.columns, "benchmark_hits")
 
@@ -264,7 +265,8 @@ def remove(docs: DataFrame, benchmark: DataFrame, limits: Limits = Limits(), win
     found = with_hits(docs, benchmark, "text", name, window)
     runs, n_words = F.col(f"{name}.runs"), F.col(f"{name}.n_words")
     found = found.where(hit_words(runs) <= limits.max_share * n_words)
-    long_runs = F.filter(runs, lambda r: r["past"] - r["first"] >= limits.min_words)
+    size = lambda r: r["past"] - r["first"]
+    long_runs = F.filter(runs, lambda r: (size(r) >= limits.min_words) | (size(r) < window))
     clean = found.withColumn("text", cutter(F.col("text"), long_runs))
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
