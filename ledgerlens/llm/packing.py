@@ -15,6 +15,7 @@ separate documents; a null ``doc_id`` is passed on; an empty table gives no piec
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -29,42 +30,48 @@ CAPACITY = 2048
 #: Most pieces, on average, that one packing task holds: lengths and keys only.
 GROUP_PIECES = 250_000
 MAX_EXCHANGES = 8
-#: Parts and chunks of text whose ids a worker remembers in each of two generations.
-REMEMBERED_PARTS, REMEMBERED_CHUNKS = 600_000, 200_000
+#: Bytes that a worker's memory of ids takes in each of two generations, an entry's own cost,
+#: and the cost above which an entry is not worth remembering.
+REMEMBERED_BYTES, ENTRY_BYTES, LARGE_BYTES = 40 << 20, 180, 1000
 
 #: Characters that lower-casing and composing map one to one, and how the
 #: tokenizer divides them: runs of letters, single digits, runs of marks. The apostrophe is
 #: left out, as it takes letters along.
 LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
 SIMPLE = re.compile(f"[{LETTERS}0-9{MARKS}]+")
+SIMPLE_TEXT = re.compile(f"[{LETTERS}0-9{MARKS} \\n\\t\\r]+")
 PART = re.compile(f"[{LETTERS}]+|[0-9]|[{MARKS}]+")
 
 
-class Memory:
-    """A dictionary that forgets what was not asked for while it filled up twice."""
-
-    def __init__(self, most: int):
-        self.most, self.young, self.old = most, {}, {}
-
-    def get(self, key: str) -> bytes | None:
-        value = self.young.get(key)
-        if value is None and (value := self.old.get(key)) is not None:
-            self.put(key, value)
+class Memory(dict):
+    """Values by key, computed when first asked for. It takes a bounded number of bytes and
+    forgets what was not asked for while it filled up twice."""
+
+    def __init__(self, compute: Callable[[str], bytes]):
+        super().__init__()
+        self.compute, self.size, self.old = compute, 0, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        cost = ENTRY_BYTES + len(key) + len(value)
+        if cost <= LARGE_BYTES:
+            if self.size + cost > REMEMBERED_BYTES:
+                self.old, self.size = dict(self), 0
+                self.clear()
+            self[key] = value
+            self.size += cost
         return value
 
-    def put(self, key: str, value: bytes) -> None:
-        if len(self.young) >= self.most:
-            self.young, self.old = {}, self.young
-        self.young[key] = value
-
 
 class Encoder:
     """Token ids of texts as little-endian 32-bit integers.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those
-    of its chunks between blanks; ids of chunks seen before are remembered. Chunks of plain
-    characters are divided here as the tokenizer does, and their parts, lower-cased, go
-    to its merges; all others go through the whole tokenizer.
+    of its chunks between blanks. Texts and chunks of plain characters are divided here as the
+    tokenizer does, and their parts, lower-cased, go to its merges; all other chunks go through
+    the whole tokenizer. Ids of parts and chunks seen before are remembered.
     """
 
     def __init__(self, path: str):
@@ -75,33 +82,28 @@ class Encoder:
         # The merges work on a printable form of the bytes of a character.
         shown = {c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c) for c in map(chr, range(0xDF, 0x100)) if c != "÷"}
         self.printable = str.maketrans({c: parts[0][0] for c, parts in shown.items()})
-        self.parts, self.chunks = Memory(REMEMBERED_PARTS), Memory(REMEMBERED_CHUNKS)
+        self.parts, self.chunks = Memory(self._part), Memory(self._chunk)
 
     def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            shown = part if part.isascii() else part.translate(self.printable)
-            ids = np.array([token.id for token in self.model.tokenize(shown)], "<u4").tobytes()
-            self.parts.put(part, ids)
-        return ids
+        shown = part if part.isascii() else part.translate(self.printable)
+        ids = [token.id for token in self.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _simple(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, PART.findall(text.lower())))
 
     def _chunk(self, chunk: str) -> bytes:
         if SIMPLE.fullmatch(chunk) and "<|" not in chunk:
-            return b"".join([self._part(part) for part in PART.findall(chunk.lower())])
+            return self._simple(chunk)
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if SIMPLE_TEXT.fullmatch(text) and "<|" not in text:
+            return self._simple(text)
         chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        own: dict[str, bytes] = {"": b""}
-        for chunk in set(chunks):
-            ids = self.chunks.get(chunk)
-            if ids is None:
-                ids = self._chunk(chunk)
-                self.chunks.put(chunk, ids)
-            own[chunk] = ids
-        return b"".join([own[chunk] for chunk in chunks])
+        return b"".join([self.chunks[chunk] for chunk in chunks if chunk])
 
 
 PIECES = "key long, doc_id long, piece int, start long, length long, ids_crc32 long"
