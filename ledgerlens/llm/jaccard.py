@@ -53,6 +53,10 @@ class Params:
         return 1 - (1 - similarity**depth) ** self.trees
 
 
+#: Hashes of words that a task remembers; longer words are hashed anew each time.
+REMEMBERED_WORDS, LONG_WORD = 150_000, 64
+
+
 class Shingler:
     """Distinct shingles of a text as ascending 64-bit hashes; words are remembered."""
 
@@ -64,13 +68,14 @@ class Shingler:
         found = WORD.findall(text) if text else ()
         if not found:
             return np.empty(0, np.uint64)
-        memory = self.memory
-        if len(memory) > 500_000:
+        memory, long = self.memory, {}
+        if len(memory) > REMEMBERED_WORDS:
             memory.clear()
         for word in set(found):
             if word not in memory:
-                memory[word] = xxhash.xxh64_intdigest(word.encode())
-        hashes = np.array([memory[w] for w in found], np.uint64)
+                (memory if len(word) <= LONG_WORD else long)[word] = xxhash.xxh64_intdigest(word.encode())
+        known = memory | long if long else memory
+        hashes = np.array([known[w] for w in found], np.uint64)
         n, k = len(hashes), min(self.words, len(hashes))
         out = np.zeros(n - k + 1, np.uint64)
         for i in range(k):
