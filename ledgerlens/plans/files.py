@@ -55,6 +55,23 @@ def ingest_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("amount", F.col("amount").cast("double"))
 
 
+def ingest_broken_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports whose descriptions break over lines inside quotes, and others, with one stray
+    quote among all their rows: each row comes back as it was."""
+    ledger = A.event_ledger(spark, sf_dir)
+    broken = F.when(F.col("tx_id") % 5 == 0, F.concat("description", F.lit("\nnext; line"))).otherwise(F.col("description"))
+    target = scratch_dir(spark, "broken")
+    write_report_files(report_text(ledger.where("tx_id % 2 = 0").withColumn("description", broken)), target)
+    first = ledger.where("tx_id % 2 = 1").agg(F.min("tx_id").alias("first"))
+    odd = ledger.where("tx_id % 2 = 1").crossJoin(F.broadcast(first)).withColumn("stray", F.col("tx_id") == F.col("first"))
+    lines = report_text(odd.where("not stray")).unionByName(
+        report_text(odd.where("stray")).select(F.concat(F.replace("value", F.lit('"'), F.lit("")), F.lit('"')).alias("value"))
+    )
+    write_report_files(lines, target)
+    rows = unique_movements(read_reports(spark, target, glob="*.txt"))
+    return rows.withColumn("amount", F.col("amount").cast("double"))
+
+
 def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored ledger after the same reports came in twice under different names."""
     reports = _reports(spark, sf_dir)
@@ -134,6 +151,7 @@ def report_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "ingest_reports": ingest_reports,
+    "ingest_broken_quotes": ingest_broken_quotes,
     "ingest_ledger": ingest_ledger,
     "ingest_text_ids": ingest_text_ids,
     "pending_files": pending,
@@ -149,6 +167,9 @@ def oracles() -> dict[str, str]:
       CAST(amount AS DOUBLE) AS amount"""
     return {
         "ingest_reports": E + row + " FROM cls",
+        "ingest_broken_quotes": E + row.replace(
+            "description,", "CASE WHEN tx_id % 10 = 0 THEN description || chr(10) || 'next; line' ELSE description END AS description,"
+        ) + " FROM cls",
         "ingest_ledger": E + row + ", month FROM cls",
         "ingest_text_ids": E + """SELECT CASE tx_id % 3 WHEN 0 THEN CAST(tx_id AS VARCHAR)
           WHEN 1 THEN 'TX-' || tx_id END AS tx_key, CASE WHEN tx_id % 3 = 0 THEN tx_id END AS tx_id,
