@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from collections.abc import Callable
 from itertools import chain
 
 from pyspark.sql import Column
@@ -96,6 +97,11 @@ def fold_text(text: Column) -> Column:
     return F.coalesce(folded, F.lit(""))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named there."""
+    return F.transform(F.array(value), use)[0]
+
+
 def strip_text(text: Column) -> Column:
     """Remove white space of any kind from both ends."""
     return F.btrim(text, F.lit(WHITESPACE))
@@ -113,22 +119,34 @@ def dayfirst_ts(text: Column) -> Column:
 
     Years of two digits from 69 on are of the last century.
     """
-    value = strip_text(text)
-    half = F.lower(F.regexp_extract(value, r"(?i)\d\s*([ap])\.?\s?m\.?$", 1))
-    value = F.when(half != "", F.regexp_replace(value, r"(?i)\s*[ap]\.?\s?m\.?$", "")).otherwise(value)
     short = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d\d)(?!\d)"
-    century = F.when(F.regexp_extract(value, short, 3) >= "69", F.lit("19")).otherwise(F.lit("20"))
-    long = F.concat(
-        F.regexp_extract(value, short, 1), F.lit("/"), F.regexp_extract(value, short, 2), F.lit("/"), century,
-        F.regexp_extract(value, short, 3), F.regexp_replace(value, short, ""),
-    )
-    value = F.when(value.rlike(short), long).otherwise(value)
-    iso = F.regexp_replace(value, r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})", "$3-$2-$1")
-    time = F.when(iso.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d|$)"), iso.try_cast("timestamp_ntz"))
-    hour = F.hour(time)
-    shift = F.when((half == "p") & (hour < 12), 12).when((half == "a") & (hour == 12), -12).otherwise(0)
-    moved = F.when(hour.between(1, 12), time + F.make_dt_interval(F.lit(0), shift))
-    return F.when(half == "", time).otherwise(moved)
+
+    def without_half(value: Column) -> Column:
+        half = F.lower(F.regexp_extract(value, r"(?i)\d\s*([ap])\.?\s?m\.?$", 1))
+        bare = F.when(half != "", F.regexp_replace(value, r"(?i)\s*[ap]\.?\s?m\.?$", "")).otherwise(value)
+        return let(F.struct(half.alias("half"), bare.alias("text")), with_year)
+
+    def with_year(p: Column) -> Column:
+        value = p["text"]
+        century = F.when(F.regexp_extract(value, short, 3) >= "69", F.lit("19")).otherwise(F.lit("20"))
+        long = F.concat(
+            F.regexp_extract(value, short, 1), F.lit("/"), F.regexp_extract(value, short, 2), F.lit("/"), century,
+            F.regexp_extract(value, short, 3), F.regexp_replace(value, short, ""),
+        )
+        whole = F.when(value.rlike(short), long).otherwise(value)
+        iso = F.regexp_replace(whole, r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})", "$3-$2-$1")
+        return let(iso, lambda iso: let(as_time(iso), lambda time: moved(time, p["half"])))
+
+    def as_time(iso: Column) -> Column:
+        return F.when(iso.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d|$)"), iso.try_cast("timestamp_ntz"))
+
+    def moved(time: Column, half: Column) -> Column:
+        hour = F.hour(time)
+        shift = F.when((half == "p") & (hour < 12), 12).when((half == "a") & (hour == 12), -12).otherwise(0)
+        later = F.when(hour.between(1, 12), time + F.make_dt_interval(F.lit(0), shift))
+        return F.when(half == "", time).otherwise(later)
+
+    return let(strip_text(text), without_half)
 
 
 def doc_key(text: Column) -> Column:
