@@ -54,7 +54,7 @@ class Params:
 
 
 #: Hashes of words that a task remembers; longer words are hashed anew each time.
-REMEMBERED_WORDS, LONG_WORD = 150_000, 64
+REMEMBERED_WORDS, LONG_WORD = 100_000, 64
 
 
 class Shingler:

@@ -30,9 +30,9 @@ CAPACITY = 2048
 #: Most pieces, on average, that one packing task holds: lengths and keys only.
 GROUP_PIECES = 250_000
 MAX_EXCHANGES = 8
-#: Bytes that a worker's memory of ids takes in each of two generations, an entry's own cost,
+#: Bytes that a task's memory of ids takes in each of two generations, an entry's own cost,
 #: and the cost above which an entry is not worth remembering.
-REMEMBERED_BYTES, ENTRY_BYTES, LARGE_BYTES = 40 << 20, 180, 1000
+REMEMBERED_BYTES, ENTRY_BYTES, LARGE_BYTES = 24 << 20, 180, 1000
 
 #: Characters that lower-casing and composing map one to one, and how the
 #: tokenizer divides them: runs of letters, single digits, runs of marks. The apostrophe is
@@ -121,7 +121,8 @@ def pieces(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY
     tail = np.array([end_id], "<u4").tobytes()
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(path)
+        # Of this task alone: workers serve other tasks, which need their memory for themselves.
+        encoder = Encoder(path)
         for frame in frames:
             rows = []
             for key, doc, text in zip(frame["key"], frame["doc_id"], frame["text"], strict=True):
@@ -136,16 +137,6 @@ def pieces(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY
     return saved(numbered.mapInPandas(cut, schema), "packing-pieces")
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def _encoder(path: str) -> Encoder:
-    """The encoder of this worker process; what it remembers serves its later tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
     """Best fit decreasing: for each length its bin and its place there; bins used.
 
