@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ledgerlens.plans.bundle import write_reports
 from ledgerlens.schema import LEDGER
 from ledgerlens.sources import ledger as ledger_module
+from ledgerlens.sources import reports as reports_module
 from ledgerlens.sources.ledger import LedgerStore
 from ledgerlens.sources.manifest import list_files, load_manifest, pending_files, save_manifest, upsert_manifest
 from ledgerlens.sources.registry import read_readings, read_users, resolve_users
@@ -242,6 +243,18 @@ def test_cells_that_break_over_lines(spark, tmp_path):
     assert got.keys() == {1, 2, 3, 4, 5} and got[3][0].startswith('5" pipe')
 
 
+@pytest.mark.parametrize("chunk", [1, 2, 100])
+def test_records_go_over_chunks_of_a_file(spark, tmp_path, monkeypatch, chunk):
+    monkeypatch.setattr(reports_module, "CHUNK_LINES", chunk)
+    put(
+        str(tmp_path), "a.csv", '1;01/01/2025;A;1;"one', "two", "three", 'four; five";5', "2;01/01/2025;A;1;plain;6",
+        *[f"{i};01/01/2025;A;1;x;7" for i in range(3, 9)], '9;01/01/2025;A;1;5" pipe;8', "10;01/01/2025;A;1;last;9",
+    )
+    got = {r.tx_id: (r.description, int(r.amount)) for r in read_reports(spark, str(tmp_path)).collect()}
+    assert got.keys() == set(range(1, 11)) and got[1] == ("one\ntwo\nthree\nfour; five", 5)
+    assert got[9][1] == 8 and got[10] == ("last", 9)
+
+
 def test_places_do_not_depend_on_the_split_plan(spark, tmp_path):
     for name in "abc":
         put(str(tmp_path), f"{name}.csv", *[f"{name}{i};01/01/2025;A;1;x;1" for i in range(700)])
