@@ -47,9 +47,14 @@ class Memory(dict):
     """Values by key, computed when first asked for. It takes a bounded number of bytes and
     forgets what was not asked for while it filled up twice."""
 
-    def __init__(self, compute: Callable[[str], bytes]):
+    def __init__(self, most: int):
         super().__init__()
-        self.compute, self.size, self.old = compute, 0, {}
+        self.most, self.size, self.old = most, 0, {}
+
+    def of(self, compute: Callable[[str], bytes]) -> Callable[[str], bytes]:
+        """Look up a key, or compute and remember its value."""
+        self.compute = compute
+        return self.__getitem__
 
     def __missing__(self, key: str) -> bytes:
         value = self.old.get(key)
@@ -57,7 +62,7 @@ class Memory(dict):
             value = self.compute(key)
         cost = ENTRY_BYTES + len(key) + len(value)
         if cost <= LARGE_BYTES:
-            if self.size + cost > REMEMBERED_BYTES:
+            if self.size + cost > self.most:
                 self.old, self.size = dict(self), 0
                 self.clear()
             self[key] = value
@@ -82,7 +87,7 @@ class Encoder:
         # The merges work on a printable form of the bytes of a character.
         shown = {c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c) for c in map(chr, range(0xDF, 0x100)) if c != "÷"}
         self.printable = str.maketrans({c: parts[0][0] for c, parts in shown.items()})
-        self.parts, self.chunks = Memory(self._part), Memory(self._chunk)
+        self.parts, self.chunks = Memory(REMEMBERED_BYTES), Memory(REMEMBERED_BYTES)
 
     def _part(self, part: str) -> bytes:
         shown = part if part.isascii() else part.translate(self.printable)
@@ -90,7 +95,7 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _simple(self, text: str) -> bytes:
-        return b"".join(map(self.parts.__getitem__, PART.findall(text.lower())))
+        return b"".join(map(self.parts.of(self._part), PART.findall(text.lower())))
 
     def _chunk(self, chunk: str) -> bytes:
         if SIMPLE.fullmatch(chunk) and "<|" not in chunk:
@@ -103,7 +108,7 @@ class Encoder:
         if SIMPLE_TEXT.fullmatch(text) and "<|" not in text:
             return self._simple(text)
         chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return b"".join([self.chunks[chunk] for chunk in chunks if chunk])
+        return b"".join(map(self.chunks.of(self._chunk), filter(None, chunks)))
 
 
 PIECES = "key long, doc_id long, piece int, start long, length long, ids_crc32 long"
