@@ -39,7 +39,7 @@ class Params:
     order: int = 3
     backoff: float = 0.4
     block_words: int = 2_000_000
-    part_grams: int = 2_000_000  # most n-grams, on average, that one summing task holds
+    part_grams: int = 1_000_000  # most n-grams, on average, that one summing task holds
 
 
 #: Bits of an n-gram's name beyond those that number all n-grams: the expected share of
@@ -73,14 +73,17 @@ def unpack(raw: bytes) -> np.ndarray:
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
-    """A byte per count; those of 255 and more follow in eight."""
+    """A byte per count, coded by its frequency, as most counts are small; those of 255 and
+    more follow in eight."""
     large = counts[counts >= 255].astype("<u8")
-    return np.minimum(counts, 255).astype(np.uint8).tobytes() + large.tobytes()
+    plain = np.minimum(counts, 255).astype(np.uint8).tobytes() + large.tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(plain)
 
 
 def unpack_counts(raw: bytes, n: int) -> np.ndarray:
-    counts = np.frombuffer(raw, np.uint8, n).astype(np.int64)
-    counts[counts == 255] = np.frombuffer(raw, "<u8", offset=n)
+    plain = zstandard.ZstdDecompressor().decompress(raw)
+    counts = np.frombuffer(plain, np.uint8, n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(plain, "<u8", offset=n)
     return counts
 
 
