@@ -12,29 +12,46 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlens.llm import decontaminate, jaccard, packing, pii, quality
 from ledgerlens.llm.common import load, saved
 
+#: Rows and bytes that go to a Python worker at once, set on the session by every stage. Whole
+#: texts stand in these frames, on both sides, so they are kept small; no result depends on them.
+FRAMES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
+
+
+def small_frames(spark: SparkSession) -> None:
+    for key, value in FRAMES.items():
+        spark.conf.set(key, value)
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the production policy."""
+    small_frames(spark)
     return quality.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group connected by similar texts."""
+    small_frames(spark)
     return jaccard.keep_one(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages cut out; documents that are mostly benchmark go."""
+    small_frames(spark)
     return decontaminate.remove(docs, load(spark, sf_dir, "benchmark"))
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal values replaced by keyed pseudonyms."""
+    small_frames(spark)
     return pii.pseudonymize(docs, pii.PRODUCTION_KEY)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per piece of a document with its place in a training sequence."""
+    small_frames(spark)
     return packing.pack_documents(docs)
 
 
