@@ -6,14 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.plans import adapters as A
+from ledgerlens.operators import loads, users
+from ledgerlens.operators.classify import classify
 from ledgerlens.plans.bundle import write_reports
 from ledgerlens.schema import REPORT_COLUMNS
 from ledgerlens.session import scratch_dir
 from ledgerlens.sources.ledger import LedgerStore
 from ledgerlens.sources.manifest import list_files, load_manifest, pending_files, save_manifest, upsert_manifest
+from ledgerlens.sources.registry import Readings, read_readings
 from ledgerlens.sources.reports import read_reports, unique_movements
+from ledgerlens.sources.tables import read_dated_csv, write_table
 
-_PREAMBLE = ["Reporte de movimientos", "", ";".join(REPORT_COLUMNS)]
+PREAMBLE = ["Reporte de movimientos", "", ";".join(REPORT_COLUMNS)]
 LINES_PER_FILE = 10_000
 
 
@@ -39,7 +43,7 @@ def write_report_files(lines: DataFrame, target: str) -> None:
     whole = lines.groupBy(F.pmod(F.xxhash64("value"), F.lit(files)).alias("file")).agg(
         F.collect_list("value").alias("lines")
     )
-    text = F.array_join(F.concat(F.array(*map(F.lit, _PREAMBLE)), "lines"), "\n")
+    text = F.array_join(F.concat(F.array(*map(F.lit, PREAMBLE)), "lines"), "\n")
     whole.select(text.alias("value")).write.mode("append").option("maxRecordsPerFile", 1).text(target)
 
 
@@ -131,6 +135,59 @@ def manifest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger after files without any header came before and after its reports."""
+    bare = scratch_dir(spark, "bare")
+    report_text(A.event_ledger(spark, sf_dir)).write.text(bare)
+    store = LedgerStore(spark, scratch_dir(spark, "ledger"))
+    for folder in (bare, _reports(spark, sf_dir), bare):
+        store.ingest(folder, glob="*.txt")
+    return store.read().withColumn("amount", F.col("amount").cast("double"))
+
+
+def dated_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A daily table written as delimited text and read again by its dates."""
+    target = scratch_dir(spark, "dated")
+    table = loads.loads_daily_amount_pivot(classify(A.event_ledger(spark, sf_dir), A.EVENT_RULES))
+    write_table(table, target, single_file=True)
+    return read_dated_csv(spark, target, table.schema, "Fecha_Dia")
+
+
+OLD_EMAIL = "old@example.com"
+
+
+def _readings(spark: SparkSession, sf_dir: str) -> Readings:
+    """A registry in text that holds every user twice: first with zeros ahead of the id, and
+    each fifth with a word there, then with a decimal place."""
+    target = scratch_dir(spark, "registry")
+    people = A.order_users(spark, sf_dir).withColumn("number", F.col("user_id").cast("string"))
+    word = F.when(F.col("user_id") % 5 == 0, "DNI 00").otherwise("00")
+    versions = [(0, F.concat(word, "number"), F.lit(OLD_EMAIL)), (1, F.concat("number", F.lit(".0")), F.col("email"))]
+    first, last = [
+        people.select(
+            F.lit(turn).alias("turn"), "user_id", number.alias("Documento"), "username",
+            F.date_format("signup_ts", "dd/MM/yyyy").alias("Fecha Alta"), email.alias("Correo"),
+        ).withColumnRenamed("username", "Usuario")
+        for turn, number, email in versions
+    ]
+    rows = first.unionByName(last).orderBy("turn", "user_id").drop("turn", "user_id")
+    rows.write.option("header", True).csv(target)
+    return read_readings(spark, target)
+
+
+def users_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last and the first row of each user in a registry of duplicates and noisy ids."""
+    readings = _readings(spark, sf_dir)
+    sides = [r.withColumn("reading", F.lit(n)) for n, r in (("last", readings.last), ("first", readings.first))]
+    return sides[0].unionByName(sides[1])
+
+
+def reactivated_raw_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reactivated users of the same registry: every row of it counts, ids by their digits."""
+    facts = classify(A.order_ledger(spark, sf_dir), A.ORDER_RULES)
+    return users.reactivated_users(facts, _readings(spark, sf_dir).signups, A.ORDER_RULES)
+
+
 def report_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Total over the daily bet table of a written report bundle, per month."""
     target = scratch_dir(spark, "bundle")
@@ -157,11 +214,15 @@ QUERIES = {
     "pending_files": pending,
     "manifest_upsert": manifest_upsert,
     "report_bundle": report_bundle,
+    "ingest_guard": ingest_guard,
+    "dated_csv": dated_csv,
+    "users_registry": users_registry,
+    "reactivated_raw_registry": reactivated_raw_registry,
 }
 
 
 def oracles() -> dict[str, str]:
-    from ledgerlens.plans.oracles import E, R
+    from ledgerlens.plans.oracles import E, R, RU, amount_pivot
 
     row = """SELECT CAST(tx_id AS VARCHAR) AS tx_key, tx_id, date_trunc('second', ts) AS ts, movement_type, doc_id, description,
       CAST(amount AS DOUBLE) AS amount"""
@@ -171,6 +232,17 @@ def oracles() -> dict[str, str]:
             "description,", "CASE WHEN tx_id % 10 = 0 THEN description || chr(10) || 'next; line' ELSE description END AS description,"
         ) + " FROM cls",
         "ingest_ledger": E + row + ", month FROM cls",
+        "ingest_guard": E + row + ", month FROM cls",
+        "dated_csv": E + amount_pivot(),
+        "users_registry": RU + f"""SELECT 'last' AS reading, user_id, username, email, signup_ts FROM users UNION ALL
+          SELECT 'first', user_id, username, CASE WHEN user_id % 5 = 0 THEN email ELSE '{OLD_EMAIL}' END, signup_ts
+          FROM users""",
+        "reactivated_raw_registry": RU + f""", raw_users AS (SELECT user_id, username, email, signup_ts FROM users
+            UNION ALL SELECT user_id, username, '{OLD_EMAIL}', signup_ts FROM users),
+          after AS (SELECT doc_id, min(ts) AS ts FROM modo GROUP BY 1)
+          SELECT user_id AS "Documento", signup_ts AS "Fecha_Alta", username AS "Usuario", email AS "Correo",
+            ts AS "Fecha" FROM raw_users JOIN after ON doc_id = user_id
+          WHERE year(signup_ts) BETWEEN 1994 AND 1997 AND ts >= TIMESTAMP '1998-07-07'""",
         "ingest_text_ids": E + """SELECT CASE tx_id % 3 WHEN 0 THEN CAST(tx_id AS VARCHAR)
           WHEN 1 THEN 'TX-' || tx_id END AS tx_key, CASE WHEN tx_id % 3 = 0 THEN tx_id END AS tx_id,
           date_trunc('second', ts) AS ts, doc_id, CAST(amount AS DOUBLE) AS amount FROM cls""",

@@ -169,6 +169,12 @@ FROM bets JOIN {_PATTERNS} ON regexp_matches(game_norm, pattern)
 GROUP BY 1, 2"""
 
 
+def amount_pivot() -> str:
+    cell = "CAST(coalesce(sum(amount) FILTER (WHERE channel = '{c}'), 0) AS DOUBLE)"
+    cells = ", ".join(f'{cell.format(c=c)} AS "{c}"' for c in ("MODO", "Retail"))
+    return f'SELECT day AS "Fecha_Dia", {cells} FROM loads GROUP BY 1'
+
+
 def oracles() -> dict[str, str]:
     from ledgerlens.plans import files, streams
 
@@ -377,6 +383,11 @@ def oracles() -> dict[str, str]:
           FROM bets JOIN users ON doc_id = user_id""",
         "modo_movements": E + """SELECT doc_id AS "Documento", ts AS "Fecha", CAST(amount AS DOUBLE) AS "Importe"
           FROM modo""",
+        "load_feed": E + """SELECT ts AS "Fecha", day AS "Fecha_Dia", CAST(hour(ts) AS INTEGER) AS "Hora",
+          doc_id AS "Documento", CASE channel WHEN 'MODO' THEN 'MODO' ELSE 'Retail' END AS "Metodo",
+          channel AS "Canal", CAST(amount AS DOUBLE) AS "Importe" FROM loads""",
+        "money_text": _EVENTS + """SELECT tx_id, CAST(amount * 1000 AS VARCHAR) AS text,
+          '$' || format('{:,.2f}', CAST(amount * 1000 AS DOUBLE)) AS money FROM led""",
         "daily_rollup": E + """SELECT doc_id, day, CASE WHEN is_bet THEN game END AS game,
           CASE WHEN is_load THEN channel END AS channel, is_bet, is_load, count(amount) AS n,
           CAST(sum(amount) AS DOUBLE) AS amount, min(ts) AS first_ts, max(ts) AS last_ts

@@ -15,6 +15,7 @@ from ledgerlens.operators.classify import classify, daily_rollup
 from ledgerlens.operators.common import to_money
 from ledgerlens.operators.dedup import keep_one
 from ledgerlens.plans import adapters as A
+from ledgerlens.plans import bundle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,6 +111,11 @@ def _modo_movements(spark, sf):
     return rows.withColumn("Importe", F.col("Importe").cast("double"))
 
 
+def _load_feed(spark, sf):
+    rows = bundle.detail_feeds(events(spark, sf))["datos_cargas"]
+    return rows.withColumn("Importe", F.col("Importe").cast("double"))
+
+
 def _rollup(spark, sf):
     rows = daily_rollup(events(spark, sf))
     return rows.select(
@@ -197,6 +203,11 @@ def catalogue() -> dict[str, Query]:
         "fold_scripts": _texts("folded", lambda: F.concat(F.col("description"), F.lit(SCRIPTS)), X.fold_text),
         "enriched_bets": _enriched,
         "modo_movements": _modo_movements,
+        "load_feed": _load_feed,
+        "money_text": _texts(
+            "money", lambda: (F.col("amount") * 1000).cast("decimal(18,2)").cast("string"),
+            lambda c: X.money_text(c.cast("decimal(18,2)")),
+        ),
         "daily_rollup": _rollup,
         **files.QUERIES,
         **streams.QUERIES,

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerlens.functions.text import dayfirst_ts, doc_key, fold_plain, numeric_id
 from ledgerlens.operators.dedup import keep_one
+from ledgerlens.session import scratch_dir
 
 
 def _clean(name: str) -> str:
@@ -103,8 +104,12 @@ _ROW_ORDER = ["_file", "_block", "_line"]
 
 
 def read_readings(spark: SparkSession, path: str, sep: str = ",") -> Readings:
-    """The readings of a registry in delimited text with a header, in file order."""
-    return registry_readings(_ordered_rows(spark, path, sep), _ROW_ORDER)
+    """The readings of a registry in delimited text with a header, in file order.
+
+    The rows are numbered once and written, so all readings agree on their order."""
+    rows, stored = _ordered_rows(spark, path, sep), scratch_dir(spark, "registry-rows")
+    rows.write.parquet(stored)
+    return registry_readings(spark.read.schema(rows.schema).parquet(stored), _ROW_ORDER)
 
 
 def read_users(

@@ -15,7 +15,9 @@ from ledgerlens.sources.manifest import list_files, load_manifest, pending_files
 from ledgerlens.sources.registry import read_readings, read_users, resolve_users
 from ledgerlens.sources.reports import parse_reports, read_reports, report_lines, stored_lines, unique_movements
 from ledgerlens.sources.tables import read_dated_csv, write_table
+from ledgerlens.streaming.changes import ingest_changes
 from ledgerlens.streaming.ingest import ingest_stream
+from ledgerlens.streaming.loads import read_exact_loads, write_exact_loads
 
 HEADER = "Nro. Transacción;Fecha;Tipo Mov.;Documento;Movimiento;Importe"
 
@@ -165,6 +167,50 @@ def test_stream_ingest(spark, tmp_path):
     assert run() == ["B", "D"]
 
 
+def test_stream_reads_changed_files_again(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    os.mkdir(folder)
+    store = LedgerStore(spark, str(tmp_path / "ledger"))
+
+    def run():
+        ingest_changes(store, folder, str(tmp_path / "checkpoint")).awaitTermination()
+        return store.version(), sorted(r["movement_type"] for r in store.read().collect())
+
+    put(folder, "a.csv", "1;01/01/2025;A;1;x;1", mtime=1_700_000_000)
+    put(folder, "b.csv", "2;01/01/2025;B;1;x;1", mtime=1_700_000_000)
+    put(folder, "~$a.csv", "9;01/01/2025;Z;1;x;1", mtime=1_700_000_000)
+    assert run() == (1, ["A", "B"])
+    assert run() == (1, ["A", "B"])
+    put(folder, "a.csv", "1;01/01/2025;C;1;x;1", mtime=1_700_000_100)
+    assert run() == (2, ["B", "C"])
+    assert sorted(rows(store.manifest())) == [("a.csv", 1_700_000_100), ("b.csv", 1_700_000_000)]
+
+
+def test_late_loads_correct_their_day(spark, ledger, tmp_path):
+    folder, target = str(tmp_path / "in"), str(tmp_path / "loads")
+
+    def run(*movements):
+        ledger(*movements).coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(LEDGER).parquet(folder)
+        write_exact_loads(stream, target, str(tmp_path / "checkpoint")).awaitTermination()
+        return [
+            (str(r[0]), *r[1:]) for r in read_exact_loads(spark, target).orderBy("Fecha_Dia", "Canal").collect()
+        ]
+
+    load = "Carga saldo desde MODO"
+    first = run((1, "2025-01-01 10:00", load, 7, "a", 1.5), (2, "2025-01-09 10:00", load, 7, "a", 2), (3, None, load, 7, "a", 1))
+    assert first == [("2025-01-01", "MODO", 1, 1.5, 1), ("2025-01-09", "MODO", 1, 2.0, 1)]
+    # Days after the last time, with a user known there, a new one, and one without an id.
+    late = run(
+        (4, "2025-01-01 11:00", load, 7, "a", 1), (5, "2025-01-01 12:00", load, 8, "a", None),
+        (6, "2025-01-01 12:00", load, None, "a", 1), (7, "2025-01-01 12:00", "Jugada", 9, "a", 1),
+    )
+    assert late == [("2025-01-01", "MODO", 3, 3.5, 2), ("2025-01-09", "MODO", 1, 2.0, 1)]
+    assert run((8, "2025-01-02 12:00", "Jugada", 9, "a", 1)) == late
+    # Only the touched day was written again.
+    assert sorted(p.name for p in (tmp_path / "loads" / "users" / "batch=1").glob("day=*")) == ["day=2025-01-01"]
+
+
 def test_registry(spark, tmp_path):
     with open(tmp_path / "u.csv", "w", encoding="utf-8") as out:
         out.write(
