@@ -37,6 +37,10 @@ class Params:
     sample_rows: int = 12_000  # most labelled rows that fitting reads
     min_rows: int = 8  # rows a bucket must occur in to get a weight
     deviations: float = 5.0  # least association of such a bucket with the labels
+    pair_deviations: float = 7.0  # of a pair of buckets, beyond what both alone lead to
+    pair_rows: int = 2_000  # rows of either class in which pairs are counted
+    pair_terms: int = 6_144  # most buckets that pairs are made of, the most frequent ones
+    pairs: int = 256  # most pairs whose buckets enter, the farthest off first
     epochs: int = 25
     batch: int = 64
     rate: float = 0.2
@@ -75,11 +79,62 @@ class Machine:
         return float(1.0 / (1.0 + np.exp(-np.clip(self.raw(buckets), -40, 40))))
 
 
+def paired(rows: list[np.ndarray], toxic: np.ndarray, p: Params) -> np.ndarray:
+    """Buckets of the pairs that the labels tell apart though the buckets alone do not.
+
+    A pair without an effect of its own has the odds of both buckets multiplied. Pairs whose
+    share of toxic rows is far off that enter; a bucket that hardly occurs without the other
+    says nothing about the pair. Counts are products of incidence matrices, tile by tile, over
+    at most ``pair_rows`` rows of either class."""
+    order = np.random.default_rng(1).permutation(len(rows))
+    own = np.concatenate([order[toxic[order] > 0][: p.pair_rows], order[toxic[order] <= 0][: p.pair_rows]])
+    bad = toxic[own] > 0
+    seen = np.bincount(np.concatenate([rows[i] for i in own]), minlength=1 << p.bits)
+    terms = np.argsort(-seen, kind="stable")[: p.pair_terms]
+    terms = np.sort(terms[seen[terms] >= p.min_rows])
+    place = np.full(1 << p.bits, -1)
+    place[terms] = np.arange(len(terms))
+    grid = np.zeros((len(own), len(terms)), np.uint8)
+    for i, k in enumerate(own):
+        at = place[rows[k]]
+        grid[i, at[at >= 0]] = 1
+    count = seen[terms].astype(float)
+
+    def log_odds(hits, all_rows):
+        share = (hits + 0.5) / (all_rows + 1.0)
+        return np.log(share / (1 - share))
+
+    alone = log_odds(grid[bad].sum(axis=0, dtype=float), count) - log_odds(bad.sum(), len(own))
+    off, first, second = [np.empty(0)], [np.empty(0, int)], [np.empty(0, int)]
+    tile = 1024
+    for a in range(0, len(terms), tile):
+        left = grid[:, a : a + tile].astype(np.float32)
+        for b in range(a, len(terms), tile):
+            right = grid[:, b : b + tile].astype(np.float32)
+            hits = left[bad].T @ right[bad]
+            both = hits + left[~bad].T @ right[~bad]
+            fewer = np.minimum(count[a : a + tile, None], count[None, b : b + tile])
+            odds = log_odds(bad.sum(), len(own)) + alone[a : a + tile, None] + alone[None, b : b + tile]
+            share = np.clip(1 / (1 + np.exp(-odds)), 0.02, 0.98)
+            z = np.abs(hits - both * share) / np.sqrt(np.maximum(both, 1) * share * (1 - share))
+            i, j = np.nonzero((both >= p.min_rows) & (both <= 0.8 * fewer) & (z >= p.pair_deviations))
+            keep = i + a < j + b
+            off.append(z[i[keep], j[keep]])
+            first.append(i[keep] + a)
+            second.append(j[keep] + b)
+            # Only the farthest are held, however many a tile has.
+            off, first, second = ([np.concatenate(x)] for x in (off, first, second))
+            best = np.argsort(-off[0], kind="stable")[: p.pairs]
+            off, first, second = ([x[0][best]] for x in (off, first, second))
+    return terms[np.unique(np.concatenate([first[0], second[0]]))]
+
+
 def fit(rows: list[np.ndarray], toxic: np.ndarray, p: Params) -> Machine:
     """Adaptive gradient steps on the logistic loss over small batches of rows.
 
-    Only terms whose presence goes with the labels get weights; without that choice
-    thousands of chance weights add up in long texts. The order of rows is fixed by a seed.
+    Only terms whose presence goes with the labels, alone or in a pair, get weights; without
+    that choice thousands of chance weights add up in long texts. The order of rows is fixed
+    by a seed.
     """
     size = 1 << p.bits
     seen = np.bincount(np.concatenate(rows), minlength=size) if rows else np.zeros(size, int)
@@ -95,6 +150,7 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, p: Params) -> Machine:
     hits = np.bincount(np.concatenate(rows), weights=toxic[row], minlength=size)
     spread = np.sqrt(np.maximum(seen, 1) * share * (1 - share))
     useful = (seen >= p.min_rows) & (np.abs(hits - seen * share) >= p.deviations * spread)
+    useful[paired(rows, toxic, p)] = True
     v[useful] = rng.normal(0, 0.01, (int(useful.sum()), p.factors))
     rows = [r[useful[r]] for r in rows]
     bias = float(np.log(share / (1 - share)))

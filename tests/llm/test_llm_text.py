@@ -106,6 +106,54 @@ def test_machine_learns_a_pair(spark):
     assert both - one - two + none > 0.5  # what the pair adds to its terms
 
 
+def pair_rows(label, n=3000, shares=(0.5, 0.5), seed=5):
+    """Rows of chance words with two buckets of interest, 1 and 2."""
+    rng = np.random.default_rng(seed)
+    has = [(rng.random() < shares[0], rng.random() < shares[1]) for _ in range(n)]
+    rows = [np.array(sorted({*rng.integers(10, 500, 40).tolist(), *([1] if a else []), *([2] if b else [])})) for a, b in has]
+    return rows, np.array([float(label(a, b)) for a, b in has])
+
+
+def test_toxicity_learns_pairs_of_neutral_terms():
+    # Both or neither: either term alone says nothing.
+    p = toxicity.Params(bits=9)
+    rows, toxic = pair_rows(lambda x, y: x == y)
+    assert toxicity.paired(rows, toxic, p).tolist() == [1, 2]
+    machine = toxicity.fit(rows, toxic, p)
+    new, toxic = pair_rows(lambda x, y: x == y, seed=6)
+    right = np.mean([(machine.score(r) > 0.5) == (t > 0) for r, t in zip(new, toxic, strict=True)])
+    assert right > 0.99
+    assert machine.factors[1] @ machine.factors[2] > 1
+
+
+def test_toxicity_gives_factors_to_a_neutral_partner():
+    # The mention (2) is as frequent in clean rows: it counts beside the insult (1) only.
+    # Half of the rows without the insult are toxic for no word's sake.
+    p = toxicity.Params(bits=9)
+    noise = np.random.default_rng(9)
+    rows, toxic = pair_rows(lambda x, y: y if x else noise.random() < 0.5, shares=(0.3, 0.5))
+    machine = toxicity.fit(rows, toxic, p)
+    assert np.abs(machine.factors[2]).max() > 0.05
+    both, alone = machine.raw(np.array([1, 2])), machine.raw(np.array([1]))
+    assert both > 1 and alone < -1
+    assert abs(machine.raw(np.array([2])) - machine.raw(np.array([], np.int64))) < both - alone
+
+
+def test_toxicity_raw_is_the_sum_over_pairs():
+    rng = np.random.default_rng(3)
+    machine = toxicity.Machine(0.25, rng.normal(size=16), rng.normal(size=(16, 4)))
+    for size in (0, 1, 2, 7):
+        own = np.sort(rng.choice(16, size, replace=False))
+        pairs = sum(machine.factors[i] @ machine.factors[j] for i in own for j in own if i < j)
+        assert np.isclose(machine.raw(own), 0.25 + machine.weights[own].sum() + pairs)
+
+
+def test_toxicity_finds_no_pairs_by_chance():
+    rows, _ = pair_rows(lambda x, y: 0)
+    toxic = (np.random.default_rng(8).random(len(rows)) < 0.2).astype(float)
+    assert toxicity.paired(rows, toxic, toxicity.Params(bits=9)).size == 0
+
+
 def test_toxicity_held_out(spark):
     docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
     scored = QUERIES["op2_toxicity"](spark, SF01)
