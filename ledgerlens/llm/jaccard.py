@@ -1,11 +1,12 @@
 """Similarity join of documents on the Jaccard coefficient of their word shingles.
 
 A MinHash LSH forest finds candidates. Each of ``trees`` tries sorts the documents by the
-values of ``depth`` hash functions; documents that share a prefix of a trie are
-candidates. Prefixes are matched at the shortest length first, compared by their signatures,
-and the length used is the longest one that still has the target recall for the similarities
-met, and never longer than gives a pair at the threshold the least chance: the corpus
-decides how far prefixes are shortened.
+values of ``depth`` hash functions; documents that share a prefix of a trie are candidates.
+Matching begins at the longest prefix that gives a pair at the threshold the least chance;
+prefixes are shortened, a value at a time, until the similarities met in this corpus are found
+with the target recall. What longer prefixes found stays. In a node of a trie all documents are
+compared, by their signatures, with its least one only; those that are not near it go on among
+themselves in the nodes one value below, down to the leaves.
 
 Candidates are verified exactly on whole shingle sets. Documents are grouped by connected
 candidates; a group is cut into blocks, and each pair of blocks is one unit of work, so a
@@ -45,6 +46,7 @@ class Params:
     recall: float = 0.9999  # over the similarities of the matches found
     least: float = 0.999  # for a pair exactly at the threshold
     unlikely: float = 0.55  # matches whose signatures agree less are not verified
+    settled: float = 0.8  # documents less like the least one of their node go on below it
     block: int = 512  # documents of a block
     batch: int = 1024  # documents of small groups that one unit of work verifies
 
@@ -152,50 +154,76 @@ def signed(docs: DataFrame, p: Params) -> DataFrame:
     return saved(texts.withColumn("node", F.monotonically_increasing_id()), "jaccard-signed")
 
 
-def _compare(p: Params):
-    """Estimated similarity of two signatures and the longest prefix they share."""
+def _estimate():
+    """Estimated similarity of two signatures."""
 
-    def over(one: pd.Series, two: pd.Series) -> pd.DataFrame:
-        estimates, longest = [], []
-        for a, b in zip(one, two, strict=True):
-            same = np.frombuffer(a, np.uint8) == np.frombuffer(b, np.uint8)
-            estimates.append(max(0.0, (same.mean() - 1 / 256) / (1 - 1 / 256)))
-            longest.append(int(np.cumprod(same.reshape(p.trees, p.depth), axis=1).sum(axis=1).max()))
-        return pd.DataFrame({"estimate": estimates, "longest": longest})
+    def over(one: pd.Series, two: pd.Series) -> pd.Series:
+        same = [np.mean(np.frombuffer(a, np.uint8) == np.frombuffer(b, np.uint8)) for a, b in zip(one, two, strict=True)]
+        # Different values share their byte once in 256 times.
+        return pd.Series((np.array(same, float) - 1 / 256) / (1 - 1 / 256)).clip(lower=0.0)
 
-    return F.pandas_udf(over, "estimate double, longest int")
+    return F.pandas_udf(over, "double")
 
 
-def matches(texts: DataFrame, p: Params) -> DataFrame:
-    """Pairs (a, b) that share a prefix of the shortest length, one of them the least node
-    of their bucket: as many as documents, not as pairs."""
-    rows = texts.select("node", F.explode("prefixes").alias("bucket"))
-    hubs = rows.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    edges = rows.join(hubs, "bucket").where("node > hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    edges = edges.distinct()
-    one = texts.select(F.col("node").alias("a"), F.col("signature").alias("of_a"))
-    two = texts.select(F.col("node").alias("b"), F.col("signature").alias("of_b"))
-    both = edges.join(one, "a").join(two, "b")
-    return saved(both.select("a", "b", _compare(p)("of_a", "of_b").alias("c")).select("a", "b", "c.*"), "jaccard-matches")
+def _node_of_trie(p: Params, depth: int):
+    """The node of ``tree`` at this depth: the shortest prefix and the values below it."""
+    prefix = F.element_at("prefixes", F.col("tree") + 1)
+    below = F.substring("signature", F.col("tree") * p.depth + p.shortest + 1, F.lit(depth - p.shortest))
+    return F.xxhash64(prefix, below) if depth > p.shortest else prefix
 
 
-def shortened(found: DataFrame, p: Params) -> int:
-    """The longest prefix that meets both recall targets: prefixes are shortened step by
-    step until the similarities met in this corpus are found with the wanted chance."""
-    likely = F.col("estimate") >= p.threshold
-    similarity = F.least(F.col("estimate"), F.lit(1.0))
-    chances = [
-        F.avg(F.when(likely, 1 - F.pow(1 - F.pow(similarity, F.lit(d)), F.lit(p.trees)))).alias(f"d{d}")
-        for d in range(p.shortest, p.depth + 1)
-    ]
-    measured = found.agg(*chances).first()
+def matches(texts: DataFrame, p: Params, depth: int) -> DataFrame:
+    """Pairs (a, b) that share a prefix of at least this length, b being the least document of
+    their node: at most as many as documents in nodes, not as pairs."""
+    trees = F.explode(F.sequence(F.lit(0), F.lit(p.trees - 1))).alias("tree")
+    rows = texts.select("node", "prefixes", "signature", trees)
+    one = texts.select(F.col("node").alias("a"), F.col("signature").alias("of_a"))
+    two = texts.select(F.col("node").alias("b"), F.col("signature").alias("of_b"))
+    found = None
+    for level in range(depth, p.depth + 1):
+        rows = rows.select("node", "tree", _node_of_trie(p, level).alias("bucket"))
+        hubs = rows.groupBy("bucket").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
+        members = rows.join(hubs, "bucket").where("node > b").select(F.col("node").alias("a"), "b", "tree")
+        members = saved(members, "jaccard-members")
+        both = members.select("a", "b").distinct().join(one, "a").join(two, "b")
+        edges = both.select("a", "b", _estimate()("of_a", "of_b").alias("estimate"))
+        edges = saved(edges, "jaccard-matches")
+        found = edges if found is None else found.unionByName(edges)
+        apart = edges.where(F.col("estimate") < p.settled)
+        if level == p.depth or apart.isEmpty():
+            break
+        below = members.join(apart, ["a", "b"]).select(F.col("a").alias("node"), "tree")
+        rows = below.join(texts.select("node", "prefixes", "signature"), "node")
+    return found
+
+
+def first_depth(p: Params) -> int:
+    """The longest prefix that gives a pair at the threshold the least chance."""
     for depth in range(p.depth, p.shortest, -1):
-        met = measured[f"d{depth}"]
-        if (met is None or met >= p.recall) and p.chance(p.threshold, depth) >= p.least:
+        if p.chance(p.threshold, depth) >= p.least:
             return depth
     return p.shortest
 
 
+def recall(found: DataFrame, p: Params, depth: int) -> float:
+    """Mean chance that likely matches, as similar as those found, share such a prefix."""
+    similarity = F.least(F.col("estimate"), F.lit(1.0))
+    chance = 1 - F.pow(1 - F.pow(similarity, F.lit(depth)), F.lit(p.trees))
+    mean = found.where(F.col("estimate") >= p.threshold).agg(F.avg(chance)).first()[0]
+    return 1.0 if mean is None else mean
+
+
+def candidates(texts: DataFrame, p: Params) -> DataFrame:
+    """Matches (a, b, estimate) of the forest at the prefix length that the corpus asks for,
+    and all that longer prefixes gave."""
+    depth = first_depth(p)
+    found = matches(texts, p, depth)
+    while depth > p.shortest and recall(found, p, depth) < p.recall:
+        depth -= 1
+        found = found.unionByName(matches(texts, p, depth))
+    return found
+
+
 def _similar(sets: list[np.ndarray], first: int, p: Params) -> np.ndarray:
     """Which of the first ``first`` sets are similar to which of all: exact, by products of
     incidence matrices over slices of the shingles."""
@@ -313,10 +341,8 @@ def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """Per different text that has links or copies or neither: its keys, ``n_docs`` and
     ``n_texts`` linked to it, and ``root``, equal for texts connected by links."""
     texts = signed(docs.select("doc_id", "text"), p)
-    found = matches(texts, p)
-    depth = shortened(found, p)
-    near = found.where((F.col("longest") >= depth) & (F.col("estimate") >= p.unlikely))
-    groups = components(near.select("a", "b")).select("node", F.col("root").alias("comp"))
+    near = candidates(texts, p).where(F.col("estimate") >= p.unlikely)
+    groups = components(near.select("a", "b").distinct()).select("node", F.col("root").alias("comp"))
     links = saved(verified(docs, texts, groups, p), "jaccard-links")
     sums = links.groupBy("node").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_texts").alias("n_texts"))
     roots = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))

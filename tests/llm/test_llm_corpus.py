@@ -110,10 +110,52 @@ def test_similarity_join_on_edges(spark):
 
 def test_recall_decides_the_prefix_length(spark):
     p = jaccard.Params()
-    rows = lambda *s: spark.createDataFrame([(float(x), 10) for x in s], "estimate double, longest int")
-    depths = [jaccard.shortened(rows(*s), p) for s in ([1.0, 0.99], [0.95] * 9, [0.81] * 9)]
-    assert depths == sorted(depths, reverse=True) and depths[-1] < depths[0]
-    assert all(p.chance(p.threshold, d) >= p.least for d in depths)
+    rows = lambda *s: spark.createDataFrame([(float(x),) for x in s], "estimate double")
+    first = jaccard.first_depth(p)
+    assert p.shortest < first and p.chance(p.threshold, first) >= p.least > p.chance(p.threshold, first + 1)
+    assert jaccard.recall(rows(1.0, 0.99, 0.3), p, first) >= p.recall
+    assert jaccard.recall(rows(*[0.81] * 9), p, first) < p.recall
+    assert jaccard.recall(rows(0.3), p, first) == 1.0
+
+
+def at_similarity(words, rng, fresh):
+    """A copy of a text of different words with some replaced far apart: 0.80 to 0.85 alike."""
+    out = list(words)
+    n = len(words) - 4
+    changes = int(n * rng.uniform(0.16, 0.19) / 2 / 5) if n > 100 else 1
+    for at in rng.sample(range(5, len(words) - 5, 10), changes):
+        out[at] = next(fresh)
+    return out
+
+
+def test_recall_of_the_forest_against_brute_force(spark):
+    # Families of one template: half of the words are common to all, so that nodes of the tries
+    # are shared by texts that are not similar, and each text has copies at 0.80 to 0.85.
+    rng, fresh = random.Random(4), (f"n{i}" for i in itertools.count())
+    template = [f"t{i}" for i in range(240)]
+    texts = []
+    for _ in range(60):
+        own = template[:170] + [next(fresh) for _ in range(130)]
+        texts.append(own)
+        texts += [at_similarity(own, rng, fresh) for _ in range(2)]
+    texts = list(enumerate(" ".join(t) for t in texts))
+    docs = edge_documents(spark, texts)
+    p = jaccard.Params()
+    sets = [shingles(t) for _, t in texts]
+    wanted = {
+        (i, j)
+        for i, j in itertools.combinations(range(len(sets)), 2)
+        if 0.8 <= len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    }
+    assert len(wanted) >= 100
+    nodes = jaccard.signed(docs.select("doc_id", "text"), p)
+    rows = docs.select("doc_id", *jaccard._key()).join(nodes, ["k1", "k2"]).select("doc_id", "node").collect()
+    node = {r.doc_id: r.node for r in rows}
+    near = jaccard.candidates(nodes, p).where(F.col("estimate") >= p.unlikely)
+    comp = {r.node: r.root for r in jaccard.components(near.select("a", "b").distinct()).collect()}
+    caught = [comp.get(node[i], node[i]) == comp.get(node[j], node[j]) for i, j in wanted]
+    assert sum(caught) >= 0.99 * len(caught)
+    check_classes(jaccard.classes(docs).collect(), texts)
 
 
 # Suffix arrays and repeats
