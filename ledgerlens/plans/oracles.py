@@ -393,6 +393,13 @@ def oracles() -> dict[str, str]:
           CAST(sum(amount) AS DOUBLE) AS amount, min(ts) AS first_ts, max(ts) AS last_ts
           FROM cls GROUP BY doc_id, day, 3, 4, is_bet, is_load, is_withdrawal, is_prize, is_bonus,
           CASE WHEN is_bonus THEN regexp_matches(t || ' ' || d, 'registro|alta|bienvenida') END""",
+        "distinct_users_cube": E + """SELECT CASE
+            WHEN grouping(day) = 0 AND grouping(game) = 0 THEN 'day_game' WHEN grouping(day) = 0 THEN 'day'
+            WHEN grouping(month) = 0 AND grouping(game) = 0 THEN 'month_game' WHEN grouping(month) = 0 THEN 'month'
+            WHEN grouping(game) = 0 THEN 'game' ELSE 'all' END AS level,
+          day, month, game, count(DISTINCT doc_id) AS users
+          FROM bets WHERE doc_id IS NOT NULL AND day IS NOT NULL AND game IS NOT NULL GROUP BY GROUPING SETS (
+            (day, month, game), (day, month), (month, game), (month), (game), ())""",
         **files.oracles(),
         **streams.oracles(),
     }

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import text as X
-from ledgerlens.operators import bets, bonus, kpis, loads, users
+from ledgerlens.operators import bets, bonus, distinct, kpis, loads, users
 from ledgerlens.operators.classify import classify, daily_rollup
 from ledgerlens.operators.common import to_money
 from ledgerlens.operators.dedup import keep_one
@@ -209,6 +209,7 @@ def catalogue() -> dict[str, Query]:
             lambda c: X.money_text(c.cast("decimal(18,2)")),
         ),
         "daily_rollup": _rollup,
+        "distinct_users_cube": _on_events(distinct.users_of_ledger),
         **files.QUERIES,
         **streams.QUERIES,
     }
