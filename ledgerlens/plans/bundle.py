@@ -129,15 +129,32 @@ def write_reports(
     The ledger is read and classified once; the result, the daily roll-up over it, the
     bonus detail and the per-game tables are written first and feed all others.
     """
+    facts = _stored(spark, classify(ledger, rules), target, "classified")
+    rollup = _stored(spark, daily_rollup(facts), target, "daily_rollup")
+    return write_tables(spark, facts, rollup, target, people, rules, fmt)
+
+
+def _stored(spark: SparkSession, df: DataFrame, target: str, name: str) -> DataFrame:
+    path = f"{target}/_work/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def write_tables(
+    spark: SparkSession,
+    facts: DataFrame,
+    rollup: DataFrame,
+    target: str,
+    people: DataFrame | Readings | None = None,
+    rules: Rules = Rules(),
+    fmt: str = "csv",
+) -> list[str]:
+    """As :func:`write_reports`, from a stored classified ledger and its stored roll-up."""
     def stored(df: DataFrame, name: str) -> DataFrame:
-        path = f"{target}/_work/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return _stored(spark, df, target, name)
 
     if isinstance(people, DataFrame):
         people = Readings(people, people, people)
-    facts = stored(classify(ledger, rules), "classified")
-    rollup = stored(daily_rollup(facts), "daily_rollup")
     receivers = with_keys(rollup.where("is_bonus"), "doc_id").select("doc_id").distinct()
     few = receivers.limit(BROADCAST_USERS + 1).count() <= BROADCAST_USERS
     detail = bonus.bonus_detail(facts, people and people.last, F.broadcast(receivers) if few else None)

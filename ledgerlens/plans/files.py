@@ -9,6 +9,7 @@ from ledgerlens.plans import adapters as A
 from ledgerlens.operators import loads, users
 from ledgerlens.operators.classify import classify
 from ledgerlens.plans.bundle import write_reports
+from ledgerlens.plans.refresh import ReportStore
 from ledgerlens.schema import REPORT_COLUMNS
 from ledgerlens.session import scratch_dir
 from ledgerlens.sources.ledger import LedgerStore
@@ -194,6 +195,22 @@ def report_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_reports(
         spark, A.order_ledger(spark, sf_dir), target, A.order_users(spark, sf_dir), A.ORDER_RULES, "parquet"
     )
+    return _totals(spark, target)
+
+
+def bundle_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same totals after the orders of one year came in late and the reports were refreshed."""
+    root = scratch_dir(spark, "refresh")
+    store, reports = LedgerStore(spark, f"{root}/ledger"), ReportStore(spark, f"{root}/reports")
+    rows, people = A.order_ledger(spark, sf_dir), A.order_users(spark, sf_dir)
+    late = F.year("ts") == 1997
+    for part in (rows.where(~late), rows.where(late)):
+        store.upsert(part)
+        reports.refresh(store, people, A.ORDER_RULES, "parquet")
+    return _totals(spark, reports.folder())
+
+
+def _totals(spark: SparkSession, target: str) -> DataFrame:
     daily = spark.read.parquet(f"{target}/apuestas_diario")
     games = spark.read.parquet(f"{target}/jugadores_unicos_por_juego")
     by_month = daily.groupBy(F.date_format("Fecha_Dia", "yyyy-MM").alias("AñoMes")).agg(
@@ -214,6 +231,7 @@ QUERIES = {
     "pending_files": pending,
     "manifest_upsert": manifest_upsert,
     "report_bundle": report_bundle,
+    "bundle_refresh": bundle_refresh,
     "ingest_guard": ingest_guard,
     "dated_csv": dated_csv,
     "users_registry": users_registry,
@@ -250,6 +268,8 @@ def oracles() -> dict[str, str]:
         "manifest_upsert": "SELECT true AS is_current, count(*) AS movements FROM events",
         "report_bundle": R + """SELECT month AS "AñoMes", CAST(sum(amount) AS DOUBLE) AS "Recaudacion",
           count(amount) AS "Bets", CAST(sum(amount) AS DOUBLE) AS "Gastado" FROM bets GROUP BY 1""",
+        "bundle_refresh": R + """SELECT month AS "AñoMes", CAST(sum(amount) AS DOUBLE) AS "Recaudacion",
+          count(amount) AS "Bets", CAST(sum(amount) AS DOUBLE) AS "Gastado" FROM bets GROUP BY 1""",
     }
 
 

@@ -7,7 +7,7 @@ from ledgerlens.operators import bets, loads, users
 from ledgerlens.plans import adapters as A
 from ledgerlens.plans import queries as Q
 
-WRITING = {"ingest_reports", "ingest_ledger", "pending_files", "manifest_upsert", "report_bundle",
+WRITING = {"ingest_reports", "ingest_ledger", "pending_files", "manifest_upsert", "report_bundle", "bundle_refresh",
            "stream_loads_daily", "stream_ingest"}
 
 
