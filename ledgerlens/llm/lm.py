@@ -93,7 +93,7 @@ BLOCKS = "block long, n_words long, ids array<{}>, sizes array<long>, words bina
 def pack_words(numbers: np.ndarray) -> bytes:
     """Numbers below 2**31, their low bytes first: most high bytes are 0."""
     planes = numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=9).compress(planes.tobytes())
 
 
 def unpack_words(raw: bytes) -> np.ndarray:
@@ -101,9 +101,26 @@ def unpack_words(raw: bytes) -> np.ndarray:
     return planes.reshape(4, -1).T.copy().view("<i4").ravel()
 
 
+def pack_vocabulary(words: list[str]) -> bytes:
+    """Words as compressed text, or their hashes where these are shorter."""
+    text = zstandard.ZstdCompressor(level=9).compress("\n".join(words).encode())
+    return b"t" + text if len(text) < 8 * len(words) else b"h" + _hashes(words).tobytes()
+
+
+def unpack_vocabulary(raw: bytes) -> np.ndarray:
+    """The hashes of the words."""
+    if raw[:1] == b"h":
+        return np.frombuffer(raw, "<u8", offset=1)
+    return _hashes(zstandard.ZstdDecompressor().decompress(raw[1:]).decode().split("\n"))
+
+
+def _hashes(words: list[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(w.encode()) for w in words), "<u8", len(words))
+
+
 def blocks(docs: DataFrame, p: Params) -> DataFrame:
-    """A row per block, written: the words of its documents as numbers in the block's
-    vocabulary, and how many each document has."""
+    """A row per block, written: its vocabulary, the words of its documents as numbers in that,
+    and how many each document has."""
     schema = BLOCKS.format(dict(docs.dtypes)["doc_id"])
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -115,13 +132,13 @@ def blocks(docs: DataFrame, p: Params) -> DataFrame:
         held = 0
 
         def block() -> pd.DataFrame:
-            hashes = np.array([xxhash.xxh64_intdigest(w.encode()) for w in words], np.uint64)
             # By frequency, so that most numbers are small and the column compresses.
-            flat = np.concatenate(ids) if ids else np.empty(0, np.int64)
+            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
             order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
             rank = np.empty(len(words), np.int32)
             rank[order] = np.arange(len(words), dtype=np.int32)
-            row = (first, held, owners, sizes, pack_words(rank[flat]), hashes[order].tobytes())
+            vocabulary = pack_vocabulary([words[i] for i in order])
+            row = (first, held, owners, sizes, pack_words(rank[flat]), vocabulary)
             return pd.DataFrame([row], columns=[field.split()[0] for field in BLOCKS.split(", ")])
 
         for frame in frames:
@@ -132,7 +149,7 @@ def blocks(docs: DataFrame, p: Params) -> DataFrame:
                     if w not in numbers:
                         numbers[w] = len(words)
                         words.append(w)
-                ids.append(np.fromiter((numbers[w] for w in found), np.int64, len(found)))
+                ids.append(np.fromiter((numbers[w] for w in found), np.int32, len(found)))
                 owners.append(None if pd.isna(doc) else doc)
                 sizes.append(len(found))
                 held += len(found)
@@ -148,28 +165,12 @@ def blocks(docs: DataFrame, p: Params) -> DataFrame:
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class Block:
-    """The words of a block's documents and their n-grams, named by ``bits`` bits."""
-
-    def __init__(self, sizes: np.ndarray, words: bytes, vocabulary: bytes, bits: int):
-        self.bits = bits
-        self.sizes = np.asarray(sizes, np.int64)
-        self.hashes = np.frombuffer(vocabulary, "<u8")[unpack_words(words)]
-        self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        self.place = np.arange(len(self.hashes)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
-
-    def grams(self, order: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ends of all n-grams, as places of words, and their names."""
-        h = _mix(self.hashes)
-        for _ in range(order - 1):
-            h = _mix(np.roll(h, 1) * np.uint64(0x9E3779B97F4A7C15) + self.hashes)
-        ends = np.flatnonzero(self.place >= order - 1)
-        return ends, h[ends] >> np.uint64(64 - self.bits)
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 @dataclass(frozen=True)
@@ -187,11 +188,55 @@ class Split:
     def part(self, grams: np.ndarray) -> np.ndarray:
         return (grams >> np.uint64(self.name - self.first)).astype(np.int64)
 
+    def slice(self, part):
+        """The slice of a block that a partition falls in."""
+        return part >> max(0, self.first - SLICE_BITS)
+
     def rest(self, grams: np.ndarray) -> np.ndarray:
         """Names without the bits that tell the partition."""
         return grams & np.uint64((1 << (self.name - self.first)) - 1)
 
 
+#: A block's n-grams are sorted in so many slices, two to the power of this, and scored in
+#: runs of so many words: what a task holds beyond the block itself is a part of its size.
+SLICE_BITS = 3
+RUN_WORDS = 1 << 18
+
+
+class Block:
+    """The words of a block's documents and their n-grams."""
+
+    def __init__(self, sizes: np.ndarray, words: bytes, vocabulary: bytes, split: Split):
+        self.split = split
+        self.sizes = np.asarray(sizes, np.int64)
+        self.hashes = unpack_vocabulary(vocabulary)[unpack_words(words)]
+        self.owner = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
+        self.place = np.arange(len(self.hashes), dtype=np.int32)
+        self.place -= np.repeat((np.cumsum(self.sizes) - self.sizes).astype(np.int32), self.sizes)
+
+    def grams(self, order: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ends of all n-grams, as places of words, and their names."""
+        h = _mix(self.hashes)
+        for _ in range(order - 1):
+            h = np.roll(h, 1)
+            h *= np.uint64(0x9E3779B97F4A7C15)
+            h += self.hashes
+            h = _mix(h)
+        h >>= np.uint64(64 - self.split.name)
+        if order == 1:
+            return np.arange(len(h), dtype=np.int32), h
+        ends = np.flatnonzero(self.place >= order - 1).astype(np.int32)
+        return ends, h[ends]
+
+    def slices(self, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """The same in slices of whole partitions, in the order of these, numbered by :meth:`Split.slice`."""
+        ends, names = self.grams(order)
+        number = self.split.slice(self.split.part(names)).astype(np.uint8)
+        for i in range(1 << min(SLICE_BITS, self.split.first)):
+            at = np.flatnonzero(number == i)
+            yield i, ends[at], names[at]
+
+
 COUNTED = "part long, block long, n int, grams binary, counts binary"
 
 
@@ -202,17 +247,18 @@ def counted(cut: DataFrame, p: Params, split: Split) -> DataFrame:
     def over(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples(index=False):
-                block = Block(row.sizes, row.words, row.vocabulary, split.name)
+                block = Block(row.sizes, row.words, row.vocabulary, split)
                 for n in range(1, p.order + 1):
-                    grams, counts = np.unique(block.grams(n)[1], return_counts=True)
-                    part, rest = split.part(grams), split.rest(grams)
-                    cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
-                    rows = [
-                        (int(part[a]), row.block, n, pack(rest[a:b], split.name - split.first), pack_counts(counts[a:b]))
-                        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
-                        if b > a
-                    ]
-                    yield pd.DataFrame(rows, columns=columns)
+                    for _, _, names in block.slices(n):
+                        grams, counts = np.unique(names, return_counts=True)
+                        part, rest = split.part(grams), split.rest(grams)
+                        cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
+                        rows = [
+                            (int(part[a]), row.block, n, pack(rest[a:b], split.name - split.first), pack_counts(counts[a:b]))
+                            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+                            if b > a
+                        ]
+                        yield pd.DataFrame(rows, columns=columns)
 
     return cut.select("block", "sizes", "words", "vocabulary").mapInPandas(over, COUNTED)
 
@@ -241,37 +287,48 @@ SCORES = "doc_id {}, n_words long, log_score double, n_found array<long>"
 def _scored(p: Params, total: int, split: Split):
     columns = [field.split()[0] for field in SCORES.split(", ")]
 
-    def over(frame: pd.DataFrame) -> pd.DataFrame:
-        state = frame[frame["n"] == 0].iloc[0]
-        block = Block(state["sizes"], state["words"], state["vocabulary"], split.name)
-        n_docs, n = len(block.sizes), len(block.hashes)
-        # Occurrences elsewhere of the n-gram ending at each word, by order.
-        elsewhere = np.zeros((p.order + 1, n), np.int64)
-        elsewhere[0] = total - block.sizes[block.owner]
-        for order in range(1, p.order + 1):
-            ends, hashes = block.grams(order)
-            grams, place = np.unique(hashes, return_inverse=True)
+    def elsewhere(block: Block, replies: dict[tuple[int, int], list], order: int) -> np.ndarray:
+        """Occurrences elsewhere of the n-gram ending at each word."""
+        if order == 0:
+            return total - np.repeat(block.sizes, block.sizes)
+        others = np.zeros(len(block.hashes), np.int64)
+        for i, ends, names in block.slices(order):
+            grams, place = np.unique(names, return_inverse=True)
             sums = np.zeros(len(grams), np.int64)
             part = split.part(grams)
-            for reply in frame[frame["n"] == order].itertuples(index=False):
-                a, b = np.searchsorted(part, [reply.part, reply.part + 1])
-                sums[a:b] = unpack_counts(reply.counts, b - a)
-            own = block.owner[ends] * len(grams) + place
+            for of, raw in replies.get((order, i), []):
+                a, b = np.searchsorted(part, [of, of + 1])
+                sums[a:b] = unpack_counts(raw, b - a)
+            own = block.owner[ends].astype(np.int64) * len(grams) + place
             times = np.unique(own, return_inverse=True, return_counts=True)
-            elsewhere[order, ends] = sums[place] - times[2][times[1]]
-        score, found = np.zeros(n), np.zeros(n, np.int64)
+            others[ends] = sums[place] - times[2][times[1]]
+        return others
+
+    def over(frame: pd.DataFrame) -> pd.DataFrame:
+        state = frame[frame["n"] == 0].iloc[0]
+        replies: dict[tuple[int, int], list] = {}
+        for reply in frame[frame["n"] > 0].itertuples(index=False):
+            replies.setdefault((reply.n, split.slice(reply.part)), []).append((reply.part, reply.counts))
+        block = Block(state["sizes"], state["words"], state["vocabulary"], split)
+        n_docs, n = len(block.sizes), len(block.hashes)
+        score, found = np.zeros(n), np.zeros(n, np.int8)
         open_ = np.ones(n, bool)
+        others = elsewhere(block, replies, p.order)
         for order in range(p.order, 0, -1):
-            hit = open_ & (elsewhere[order] > 0)
-            at = np.flatnonzero(hit)
-            # The context ends a word earlier; for single words it is the whole corpus.
-            context = elsewhere[order - 1, at - 1] if order > 1 else elsewhere[0, at]
-            steps = np.minimum(p.order, block.place[at] + 1) - order
-            score[at] = np.log(elsewhere[order, at] / context) + steps * np.log(p.backoff)
-            found[at], open_ = order, open_ & ~hit
-        at = np.flatnonzero(open_)
-        steps = np.minimum(p.order, block.place[at] + 1)
-        score[at] = steps * np.log(p.backoff) - np.log(np.maximum(elsewhere[0, at], 1))
+            shorter = elsewhere(block, replies, order - 1)
+            hit = open_ & (others > 0)
+            for start in range(0, n, RUN_WORDS):
+                at = start + np.flatnonzero(hit[start : start + RUN_WORDS])
+                # The context ends a word earlier; for single words it is the whole corpus.
+                context = shorter[at - 1] if order > 1 else shorter[at]
+                steps = np.minimum(p.order, block.place[at] + 1) - order
+                score[at] = np.log(others[at] / context) + steps * np.log(p.backoff)
+            found[hit], open_ = order, open_ & ~hit
+            others = shorter
+        for start in range(0, n, RUN_WORDS):
+            at = start + np.flatnonzero(open_[start : start + RUN_WORDS])
+            steps = np.minimum(p.order, block.place[at] + 1)
+            score[at] = steps * np.log(p.backoff) - np.log(np.maximum(others[at], 1))
         sums = np.bincount(block.owner, score, n_docs)
         by_order = [np.bincount(block.owner[found == k], minlength=n_docs) for k in range(p.order + 1)]
         rows = zip(state["ids"], block.sizes, sums, np.stack(by_order, axis=1).tolist(), strict=True)

@@ -6,9 +6,11 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import SMALL
 from edges import LONG, TEXTS, WORD, edge_documents, groups, shingles
@@ -318,6 +320,32 @@ def test_packed_numbers():
     assert (lm.unpack_words(lm.pack_words(words)) == words).all()
 
 
+def test_packed_vocabulary():
+    prose = [f"word{i}" for i in range(5000)] + ["é\u2028ß", "日本"]
+    noise = [hashlib.sha512(str(i).encode()).hexdigest() for i in range(50)]
+    for words in ([], ["a"], prose, noise):
+        raw = lm.pack_vocabulary(words)
+        assert (lm.unpack_vocabulary(raw) == lm._hashes(words)).all()
+        assert len(raw) <= 8 * len(words) + 1
+    assert len(lm.pack_vocabulary(prose)) < 4 * len(prose)
+
+
+def test_scoring_a_block_is_bounded_in_memory():
+    n = 1 << 19
+    vocabulary = [f"word{i}" for i in range(1000)]
+    words = np.random.default_rng(2).integers(0, len(vocabulary), n).astype(np.int32)
+    state = ["ids", "sizes", "words", "vocabulary"]
+    row = (0, 0, 0, None, list(range(n >> 9)), [512] * (n >> 9), lm.pack_words(words), lm.pack_vocabulary(vocabulary))
+    frame = pd.DataFrame([row], columns=["block", "n", "part", "counts", *state])
+    over = lm._scored(lm.Params(), n, lm.Split(45, 5))
+    tracemalloc.start()
+    try:
+        assert len(over(frame)) == n >> 9
+        assert tracemalloc.get_traced_memory()[1] < 110 * n
+    finally:
+        tracemalloc.stop()
+
+
 def plain_scores(texts, order, backoff=0.4):
     docs = [WORD.findall(t or "") for t in texts]
     grams = lambda w, n: [tuple(w[i : i + n]) for i in range(len(w) - n + 1)]
