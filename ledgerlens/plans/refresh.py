@@ -71,6 +71,7 @@ class ReportStore:
 
         Other rules mean every month is read anew. Without a changed month nothing is
         written, unless ``people_changed`` says that the registry is another one."""
+        ledger.settle()
         months, rows = ledger.months(), self._current()
         if not months:
             raise FileNotFoundError(f"no ledger under {ledger.root}")

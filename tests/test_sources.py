@@ -167,6 +167,54 @@ def test_stream_ingest(spark, tmp_path):
     assert run() == ["B", "D"]
 
 
+def test_a_stream_writes_the_ledger_as_often_as_it_doubles(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    os.mkdir(folder)
+    store = LedgerStore(spark, str(tmp_path / "ledger"))
+    for k in range(9):
+        put(folder, f"{k}.csv", f"1;01/01/2025;{k};1;x;1", f"{10 + k};01/01/2025;n;1;x;1", ";;n;1;y;1", ";;n;1;y;1",
+            mtime=1_700_000_000 + k)
+    ingest_stream(store, folder, str(tmp_path / "c"), files_per_batch=1).awaitTermination()
+    # All there is was merged after batches 1, 3 and 7; two lie beside the ledger and are read with it.
+    assert store.version() == 3 and store._arrived_batches(3) == 2
+    found = [(r["tx_key"], r["movement_type"], r["month"]) for r in store.read().collect()]
+    assert len(found) == len({r[0] for r in found}) == 1 + 9 + 18
+    assert [r[1:] for r in found if r[0] == "1"] == [("8", "2025-01")]
+    # What lies there is merged before what comes later, by whatever way.
+    later = [movement(16, "2025-02-01", "B", 1, "x", 1), movement(30, "2025-02-01", "B", 1, "x", 1)]
+    assert store.upsert(spark.createDataFrame(later, LEDGER)) == 5 and store._arrived_batches(5) == 0
+    assert store.read().count() == 29
+    assert [r["month"] for r in store.read().where("tx_key = '16'").collect()] == ["2025-02"]
+
+
+def test_batches_that_arrive_keep_their_order(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    os.mkdir(folder)
+    store = LedgerStore(spark, str(tmp_path / "ledger"))
+    names = "dcba"  # Later batches have earlier names.
+    for k, name in enumerate(names):
+        put(folder, f"{name}.csv", f"1;01/0{k + 1}/2025;{k};1;x;1", f"{k // 3 + 5};01/01/2025;{k};1;x;1",
+            mtime=1_700_000_000 + k)
+    query = ingest_stream(store, folder, str(tmp_path / "c"), files_per_batch=1, keep="first")
+    query.awaitTermination()
+    found = {r["tx_key"]: (r["movement_type"], r["month"]) for r in store.read().collect()}
+    assert found == {"1": ("0", "2025-01"), "5": ("0", "2025-01"), "6": ("3", "2025-01")}
+    # The same batches once more, as a lost checkpoint brings them, now with the last row kept.
+    ingest_stream(store, folder, str(tmp_path / "again"), files_per_batch=1).awaitTermination()
+    assert {r["tx_key"]: (r["movement_type"], r["month"]) for r in store.read().collect()} == {
+        "1": ("3", "2025-04"), "5": ("2", "2025-01"), "6": ("3", "2025-01")
+    }
+    assert store.settle() == store.version() and store.read().count() == 3
+    put(folder, "bad.csv", "1;01/01/2025;A;1;x;1", mtime=1_800_000_000)
+    bad = os.path.join(folder, "bad.csv")
+    text = open(bad, encoding="utf-8").read().replace("Importe", "Otro")
+    open(bad, "w", encoding="utf-8").write(text)
+    with pytest.raises(Exception, match="lacks the column"):
+        ingest_stream(store, folder, str(tmp_path / "c"), files_per_batch=1).awaitTermination()
+    # The report fails its own batch and stays out of the ledger.
+    assert store.read().count() == 3
+
+
 def test_stream_reads_changed_files_again(spark, tmp_path):
     folder = str(tmp_path / "in")
     os.mkdir(folder)
