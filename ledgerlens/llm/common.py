@@ -23,11 +23,14 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def per_text(function: Callable[[], Callable[[str | None], tuple]], schema: str) -> Callable[[Column], Column]:
+def per_text(
+    function: Callable[[], Callable[[str | None], tuple]], schema: str, once: bool = False
+) -> Callable[[Column], Column]:
     """A column function: one struct per text.
 
     ``function`` builds the per-text helper once per task, so tables it needs are set up
-    there and not per row. A null text reaches the helper as None.
+    there and not per row. A null text reaches the helper as None. ``once``: a filter on the
+    result does not have it computed a second time, by a Python worker of its own.
     """
     names = [field.split()[0] for field in schema.split(", ")]
 
@@ -38,7 +41,12 @@ def per_text(function: Callable[[], Callable[[str | None], tuple]], schema: str)
 
     # Typed names only: the schema text is parsed when a session exists.
     over.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return lambda column: F.pandas_udf(over, schema)(column)
+
+    def column(text: Column) -> Column:
+        udf = F.pandas_udf(over, schema)
+        return (udf.asNondeterministic() if once else udf)(text)
+
+    return column
 
 
 def unused(columns: Iterable[str], stem: str) -> str:

@@ -165,14 +165,15 @@ def build(items: list[tuple[str, str | None]], window: int = WINDOW) -> Automato
 HITS = "n_words long, runs array<struct<first:int,past:int>>, items array<string>"
 
 
-def _scanner(sent, window: int):
+def _scanner(sent, window: int, limits: Limits | None):
     def make():
         automaton = build(sent.value, window)
 
         def one(text: str | None) -> tuple:
             words = words_of(text)
             runs, names = automaton.scan(words)
-            return len(words), runs, sorted(names)
+            hits = len(words), runs, sorted(names)
+            return hits if limits is None else (*hits, _cleaned(text, runs, limits, window))
 
         return one
 
@@ -189,12 +190,17 @@ def item_shards(benchmark: DataFrame, shard_bytes: int = SHARD_BYTES) -> list[Da
     return [rows.where(F.pmod(F.xxhash64("name", "text"), F.lit(n)) == i) for i in range(n)]
 
 
-def with_hits(docs: DataFrame, benchmark: DataFrame, text: str, name: str, window: int = WINDOW) -> DataFrame:
-    """Every row of the documents and a struct ``name``: words, hit runs, items hit."""
+def with_hits(
+    docs: DataFrame, benchmark: DataFrame, text: str, name: str, window: int = WINDOW, limits: Limits | None = None
+) -> DataFrame:
+    """Every row of the documents and a struct ``name``: words, hit runs, items hit. With
+    limits and a single shard also ``clean``, see _cleaned(), from the same pass."""
     spark, shards = docs.sparkSession, item_shards(benchmark)
+    limits = limits if len(shards) == 1 else None
+    schema = HITS if limits is None else f"{HITS}, clean string"
     for i, shard in enumerate(shards):
         items = [tuple(row) for row in shard.collect()]  # at most SHARD_BYTES of text
-        scan = per_text(_scanner(spark.sparkContext.broadcast(items), window), HITS)
+        scan = per_text(_scanner(spark.sparkContext.broadcast(items), window, limits), schema, once=True)
         found: Column = scan(F.col(text))
         if i == 0:
             docs = docs.withColumn(name, found)
@@ -239,14 +245,20 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
     return found.select("doc_id", "found.*").withColumn("n_hit", hit_words(F.col("runs")))
 
 
-def _cut(text: str, runs: list) -> str:
+def _cleaned(text: str | None, runs: list[tuple[int, int]], limits: Limits, window: int) -> str | None:
+    """The text without the runs that are to go; None where none is."""
+    gone = [(first, past) for first, past in runs if past - first >= limits.min_words or past - first < window]
+    return _cut(text, gone) if gone else None
+
+
+def _cut(text: str, runs: list[tuple[int, int]]) -> str:
     """The text without the given runs of words; a space stands where text was cut."""
     raw = text.encode()
     spans = [m.span() for m in WORD.finditer(raw.lower())]
     out, at = [], 0
-    for run in runs:
-        out.append(raw[at : spans[run["first"]][0]])
-        at = spans[run["past"] - 1][1]
+    for first, past in runs:
+        out.append(raw[at : spans[first][0]])
+        at = spans[past - 1][1]
     out.append(raw[at:])
     return b" ".join(part.strip(b" ") for part in out).decode()
 
@@ -257,19 +269,18 @@ def remove(docs: DataFrame, benchmark: DataFrame, limits: Limits = Limits(), win
     above ``max_share`` gone. ``n_chars`` follows the text. Rows
     without a hit stay as they are."""
     name = unused(docs.columns, "benchmark_hits")
-
-    def cut(texts: pd.Series, runs: pd.Series) -> pd.Series:
-        return pd.Series([t if t is None or not len(r) else _cut(t, r) for t, r in zip(texts, runs, strict=True)])
-
-    cutter = F.pandas_udf(cut, "string")
-    found = with_hits(docs, benchmark, "text", name, window)
-    runs, n_words = F.col(f"{name}.runs"), F.col(f"{name}.n_words")
-    found = found.where(hit_words(runs) <= limits.max_share * n_words)
-    size = lambda r: r["past"] - r["first"]
-    long_runs = F.filter(runs, lambda r: (size(r) >= limits.min_words) | (size(r) < window))
-    clean = found.withColumn("text", cutter(F.col("text"), long_runs))
+    found = with_hits(docs, benchmark, "text", name, window, limits)
+    found = found.where(hit_words(F.col(f"{name}.runs")) <= limits.max_share * F.col(f"{name}.n_words"))
+    if "clean" not in found.schema[name].dataType.names:
+        # The runs of several shards have met, in written rows: cutting is a pass of its own.
+        def cut(texts: pd.Series, runs: pd.Series) -> pd.Series:
+            pairs = ([(r["first"], r["past"]) for r in own] for own in runs)
+            return pd.Series([_cleaned(t, own, limits, window) for t, own in zip(texts, pairs, strict=True)], dtype=object)
+
+        cutter = F.pandas_udf(cut, "string").asNondeterministic()
+        found = found.withColumn(name, F.col(name).withField("clean", cutter(F.col("text"), F.col(f"{name}.runs"))))
+    clean = F.col(f"{name}.clean")
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
-        touched = F.size(long_runs) > 0
-        clean = clean.withColumn("n_chars", F.when(touched, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return clean.select(*docs.columns)
+        found = found.withColumn("n_chars", F.coalesce(F.length(clean).cast(kind), "n_chars"))
+    return found.withColumn("text", F.coalesce(clean, "text")).select(*docs.columns)

@@ -451,6 +451,38 @@ def test_benchmark_in_shards(spark, monkeypatch):
     assert sum(r.n_hit for r in whole) > 0
 
 
+def test_documents_meet_one_python_worker_per_task(spark, monkeypatch):
+    own, words = [f"own{i}" for i in range(60)], PROSE.split()
+    docs = spark.createDataFrame(
+        [
+            (1, " ".join([*own, *words, *own]), 7),
+            (2, " ".join([*own, *words[:12], "ñandú 𝄞", "zebra quartz", *own]), None),
+            (3, " ".join(own), 7),
+            (4, PROSE, 7),
+            (5, None, 7),
+        ],
+        "doc_id long, text string, n_chars int",
+    )
+    items = [(1, " ".join(words[:15])), (2, " ".join(words[8:])), (3, "zebra quartz"), (4, "lone")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = decontaminate.remove(docs, bench)
+    assert plan(whole).count("ArrowEvalPython") == 1
+    monkeypatch.setattr(decontaminate, "item_shards", lambda b: [
+        b.select(F.col("item_id").cast("string").alias("name"), "text").where(F.col("item_id") % 2 == i) for i in range(2)
+    ])
+    parts = decontaminate.remove(docs, bench)
+    assert plan(parts).count("ArrowEvalPython") == 1
+    expected = [
+        (1, " ".join(own + own), len(" ".join(own + own))),
+        (2, " ".join([*own, "ñandú 𝄞", *own]), len(" ".join([*own, "ñandú 𝄞", *own]))),
+        (3, " ".join(own), 7),
+        (5, None, 7),
+    ]
+    for left in (whole, parts):
+        assert left.dtypes == docs.dtypes
+        assert sorted(map(tuple, left.collect())) == expected
+
+
 def test_decontaminate_on_edges(spark):
     docs = edge_documents(spark)
     items = [(1, PROSE), (1, PROSE), (None, "Two words"), (2, ""), (3, None)]
